@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelgraph.llm.encoding import encode
 from keelgraph.llm.spellings import consistent_forms, same_looking
 from keelgraph.session import table
 
@@ -24,5 +25,9 @@ def p3_forms(spark: SparkSession, folder: str) -> DataFrame:
     return consistent_forms(_names(spark, folder), "name")
 
 
-QUERIES = {"p3_found": p3_found, "p3_forms": p3_forms}
+def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return encode(table(spark, folder, "documents"), "doc_id", "text")
+
+
+QUERIES = {"p3_found": p3_found, "p3_forms": p3_forms, "p6_ids": p6_ids}
 ORACLE: dict[str, str] = {}
