@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelgraph.llm.encoding import encode
+from keelgraph.llm.pieces import split_oversized
+from keelgraph.llm.relations import map_relations, relation_report
 from keelgraph.llm.spellings import consistent_forms, same_looking
 from keelgraph.session import table
 
@@ -29,5 +31,31 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode(table(spark, folder, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p3_found": p3_found, "p3_forms": p3_forms, "p6_ids": p6_ids}
-ORACLE: dict[str, str] = {}
+def p4_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return split_oversized(table(spark, folder, "chunks"), "metadata", "chunk_content")
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p4_pieces(spark, folder).where("piece = 0 AND pieces > 1").select("metadata")
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return map_relations(table(spark, folder, "triples"), table(spark, folder, "relation_vocab"))
+
+
+def p5_report(spark: SparkSession, folder: str) -> DataFrame:
+    return relation_report(table(spark, folder, "triples"), table(spark, folder, "relation_vocab"))
+
+
+QUERIES = {
+    "p3_found": p3_found,
+    "p3_forms": p3_forms,
+    "p4_found": p4_found,
+    "p4_pieces": p4_pieces,
+    "p5_found": p5_found,
+    "p5_report": p5_report,
+    "p6_ids": p6_ids,
+}
+ORACLE: dict[str, str] = {
+    "p4_found": "SELECT metadata FROM chunks WHERE length(chunk_content) > 512",
+}
