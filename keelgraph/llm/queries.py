@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelgraph.llm.duplicates import duplicate_pairs, group_records, survivors
 from keelgraph.llm.encoding import encode
 from keelgraph.llm.pieces import split_oversized
 from keelgraph.llm.relations import map_relations, relation_report
@@ -19,6 +20,18 @@ def _names(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionAll, [entities.select(F.col("entity_name").alias("name")), triples.select("subject"), triples.select("object")])
 
 
+def _groups(spark: SparkSession, folder: str) -> DataFrame:
+    return group_records(table(spark, folder, "entities"), "entity_id", "entity_name")
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return duplicate_pairs(_groups(spark, folder), "entity_id")
+
+
+def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
+    return survivors(table(spark, folder, "entities"), _groups(spark, folder))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return same_looking(_names(spark, folder), "name")
 
@@ -48,6 +61,8 @@ def p5_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found,
+    "p2_survivors": p2_survivors,
     "p3_found": p3_found,
     "p3_forms": p3_forms,
     "p4_found": p4_found,
