@@ -124,7 +124,7 @@ def slips(a: str, b: str) -> list[tuple[str, str, str, list[tuple[str, str]]]]:
             u, v = x.split(" "), y.split(" ")
             different = [(n, m) for m, n in zip(map(_word, u), map(_word, v)) if m != n] if len(u) == len(v) else []
             if different and all(m and n for n, m in different):
-                out.append((y, x, kind if kind != "other" else "letter", different))
+                out.append((y, x, "letter", different))
             continue
         p, q = "^" + x + "$", "^" + y + "$"  # position i is i + 1 here
         if kind == "other":

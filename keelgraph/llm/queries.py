@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelgraph.llm.abuse import THRESHOLD, score_documents, source_rates
 from keelgraph.llm.duplicates import duplicate_pairs, group_records, survivors
 from keelgraph.llm.encoding import encode
 from keelgraph.llm.pieces import split_oversized
@@ -60,6 +61,18 @@ def p5_report(spark: SparkSession, folder: str) -> DataFrame:
     return relation_report(table(spark, folder, "triples"), table(spark, folder, "relation_vocab"))
 
 
+def p8_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p8_scores(spark, folder).where(F.col("score") >= THRESHOLD).select("doc_id")
+
+
+def p8_rates(spark: SparkSession, folder: str) -> DataFrame:
+    return source_rates(p8_scores(spark, folder))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_survivors": p2_survivors,
@@ -70,6 +83,9 @@ QUERIES = {
     "p5_found": p5_found,
     "p5_report": p5_report,
     "p6_ids": p6_ids,
+    "p8_found": p8_found,
+    "p8_scores": p8_scores,
+    "p8_rates": p8_rates,
 }
 ORACLE: dict[str, str] = {
     "p4_found": "SELECT metadata FROM chunks WHERE length(chunk_content) > 512",
