@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from keelgraph.llm.abuse import THRESHOLD, score_documents, source_rates
 from keelgraph.llm.duplicates import duplicate_pairs, group_records, survivors
 from keelgraph.llm.encoding import encode
+from keelgraph.llm.mixing import mix, mix_report, plan, sized
 from keelgraph.llm.pieces import split_oversized
 from keelgraph.llm.relations import map_relations, relation_report
 from keelgraph.llm.spellings import consistent_forms, same_looking
@@ -61,6 +62,16 @@ def p5_report(spark: SparkSession, folder: str) -> DataFrame:
     return relation_report(table(spark, folder, "triples"), table(spark, folder, "relation_vocab"))
 
 
+def p7_mix(spark: SparkSession, folder: str) -> DataFrame:
+    sizes = sized(table(spark, folder, "documents"))
+    return mix(sizes, plan(sizes, table(spark, folder, "mix_targets")))
+
+
+def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
+    sizes, targets = sized(table(spark, folder, "documents")), table(spark, folder, "mix_targets")
+    return mix_report(sizes, plan(sizes, targets), targets)
+
+
 def p8_scores(spark: SparkSession, folder: str) -> DataFrame:
     return score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -83,6 +94,8 @@ QUERIES = {
     "p5_found": p5_found,
     "p5_report": p5_report,
     "p6_ids": p6_ids,
+    "p7_mix": p7_mix,
+    "p7_shares": p7_shares,
     "p8_found": p8_found,
     "p8_scores": p8_scores,
     "p8_rates": p8_rates,
