@@ -28,6 +28,8 @@ POSITIVES, NEGATIVES = 2_500, 8_000
 BAD_WEIGHT = 12.0
 #: Logits, to the model of the other half, below which a marked passage and above which an unmarked document count as wrong marks.
 SUSPECT, SURE = -1.5, 3.0
+#: Passages whose n-grams are held at a time.
+BLOCK = 4_000
 #: Longest passage in characters; a longer one is cut with some overlap.
 LONGEST, SHARED = 400, 60
 
@@ -268,6 +270,25 @@ def _fit(found: np.ndarray, start: np.ndarray, rows: np.ndarray, y: np.ndarray,
     return weights, float(bias)
 
 
+def _first_view(texts: list[str], doc: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """How much likelier the n-grams of each passage are in marked documents."""
+    p, n = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for i in range(0, len(texts), BLOCK):
+        f, o = _features(texts[i : i + BLOCK])
+        once = np.unique(doc[o + i].astype(np.int64) * BUCKETS + f)
+        in_bad = toxic[once // BUCKETS]
+        p += np.bincount((once % BUCKETS)[in_bad], minlength=BUCKETS)
+        n += np.bincount((once % BUCKETS)[~in_bad], minlength=BUCKETS)
+    likelier = np.log((p + 0.5) / (toxic.sum() + 1)) - np.log((n + 0.5) / ((~toxic).sum() + 1))
+    likelier = np.where(p >= 2, np.clip(likelier, 0, 4), 0).astype(np.float32)
+    out = []
+    for i in range(0, len(texts), BLOCK):
+        f, o = _features(texts[i : i + BLOCK])
+        size = np.maximum(np.bincount(o, minlength=len(texts[i : i + BLOCK])), 8)
+        out.append(np.bincount(o, weights=likelier[f], minlength=len(size)) / np.sqrt(size))
+    return np.concatenate(out or [np.zeros(0)])
+
+
 def train(sample: pd.DataFrame, model: CharacterModel) -> tuple[np.ndarray, float]:
     """Weights and bias of the passage score.
 
@@ -280,19 +301,22 @@ def train(sample: pd.DataFrame, model: CharacterModel) -> tuple[np.ndarray, floa
     if not 0 < toxic.sum() < len(toxic):
         return np.zeros(BUCKETS, np.float32), -5.0
     texts, counts = _read(list(sample["text"]), model)
-    doc = np.repeat(np.arange(len(counts)), counts)
+    doc = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    score = _first_view(texts, doc, toxic)
+    # Of the marked documents the few worst passages go on, of the others all that look bad and a part of the rest.
     bad = toxic[doc]
-    found, owner = _features(texts)
-    order = np.argsort(owner, kind="stable")
-    found, owner = found[order], owner[order]
+    place = np.empty(len(doc), np.int64)
+    place[np.lexsort((-score, doc))] = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
+    floor = np.quantile(score[~bad], 0.8) if (~bad).any() else 0.0
+    kept = np.flatnonzero(np.where(bad, place < 5, (score > floor) | (np.random.default_rng(7).random(len(doc)) < 0.15)))
+    texts, doc, bad, score = [texts[i] for i in kept], doc[kept], bad[kept], score[kept]
+    parts = []
+    for i in range(0, len(texts), BLOCK):
+        f, o = _features(texts[i : i + BLOCK])
+        order = np.argsort(o, kind="stable")
+        parts.append((f[order], (o[order] + i).astype(np.int32)))
+    found, owner = (np.concatenate(x) for x in zip(*parts))
     start = np.searchsorted(owner, np.arange(len(texts) + 1))
-    once = np.unique(doc[owner].astype(np.int64) * BUCKETS + found)
-    in_bad = toxic[once // BUCKETS]
-    p, n = np.bincount((once % BUCKETS)[in_bad], minlength=BUCKETS), np.bincount((once % BUCKETS)[~in_bad], minlength=BUCKETS)
-    likelier = np.log((p + 0.5) / (toxic.sum() + 1)) - np.log((n + 0.5) / ((~toxic).sum() + 1))
-    likelier = np.where(p >= 2, np.clip(likelier, 0, 4), 0).astype(np.float32)
-    size = np.maximum(np.bincount(owner, minlength=len(texts)), 8)
-    score = np.bincount(owner, weights=likelier[found], minlength=len(texts)) / np.sqrt(size)
 
     def worst_of_each() -> np.ndarray:
         most = np.full(len(toxic), -np.inf)
