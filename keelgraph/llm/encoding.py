@@ -39,7 +39,9 @@ class ByteBpe:
         self.token = {rank: token for token, rank in self.ranks.items()}
         self.byte = [self.ranks[bytes([b])] for b in range(256)]
         self.side_by_side = {t[i : i + 2] for t in self.ranks for i in range(len(t) - 1)}
+        self.touching = {t[0] << 8 | t[1] for t in self.side_by_side}
         self._parts: dict[bytes, list[int]] = {}
+        self._characters: dict[str, tuple[int, int, list[int]]] = {}
 
     def merged(self, part: bytes) -> list[int]:
         """The ids of a part, by a segment tree of the leftmost minimum pair rank."""
@@ -88,22 +90,33 @@ class ByteBpe:
             i = after[i]
         return out
 
-    def piece(self, piece: bytes) -> list[int]:
-        out, start, touching, parts = [], 0, self.side_by_side, self._parts
-        for i in range(1, len(piece) + 1):
-            if i == len(piece) or piece[i - 1 : i + 1] not in touching:
-                if i - start == 1:
-                    out.append(self.byte[piece[start]])
-                else:
-                    part = piece[start:i]
-                    known = parts.get(part)
-                    if known is None:
-                        known = self.merged(part)
-                        if len(part) < 64:
-                            parts[part] = known
-                    out += known
+    def piece(self, piece: str) -> list[int]:
+        """The ids of a piece. Neighbouring characters that no entry joins are taken apart; a character's ids are kept."""
+        out: list[int] = []
+        known, touching, last, start = self._characters, self.touching, -1, 0
+        ids: list[int] = []
+        for i, c in enumerate(piece):
+            found = known.get(c)
+            if found is None:
+                b = c.encode()
+                found = known[c] = (b[0], b[-1], self.part(b))
+            if last >= 0 and last << 8 | found[0] not in touching:
+                out += ids if i - start == 1 else self.part(piece[start:i].encode())
                 start = i
-        return out
+            ids, last = found[2], found[1]
+        return out + (ids if len(piece) - start == 1 else self.part(piece[start:].encode()))
+
+    def part(self, part: bytes) -> list[int]:
+        known = self._parts.get(part)
+        if known is None:
+            known, start = [], 0
+            for i in range(1, len(part) + 1):
+                if i == len(part) or part[i - 1 : i + 1] not in self.side_by_side:
+                    known += self.merged(part[start:i])
+                    start = i
+            if len(part) < 64:
+                self._parts[part] = known
+        return known
 
 
 class Encoder:
@@ -131,7 +144,7 @@ class Encoder:
                 k = at.get(p)
                 if k is None:
                     k = at[p] = len(at)
-                    self.ids += self.bpe.piece(p.encode())
+                    self.ids += self.bpe.piece(p)
                     self.starts.append(len(self.ids))
                 index.append(k)
         if self.frozen[0] != len(at):

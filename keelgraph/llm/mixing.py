@@ -67,7 +67,8 @@ def fit_budget(lengths: np.ndarray, supply: np.ndarray, budget: int, seed: int =
 
 def sized(documents: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, source, tokens) of the documents with any token, kept so that no text is encoded twice."""
-    return durable(documents.select("doc_id", "source", token_length(path)("text").alias("tokens")).where("tokens > 0"))
+    # Filtered only after it is kept: else the filter would have every text encoded a second time.
+    return durable(documents.select("doc_id", "source", token_length(path)("text").alias("tokens"))).where("tokens > 0")
 
 
 def plan(sizes: DataFrame, targets: DataFrame, total: int | None = None, seed: int = 0) -> DataFrame:
