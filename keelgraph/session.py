@@ -17,6 +17,7 @@ def local_session(app: str = "keelgraph", cpus: int | None = None, shuffle_parti
         .config("spark.driver.memory", os.environ.get("KEELGRAPH_DRIVER_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
