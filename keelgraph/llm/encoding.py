@@ -43,6 +43,9 @@ class ByteBpe:
         self._parts: dict[bytes, list[int]] = {}
         self._characters: dict[str, tuple[int, int, list[int]]] = {}
 
+    def forget(self) -> None:
+        self._parts.clear()
+
     def merged(self, part: bytes) -> list[int]:
         """The ids of a part, by a segment tree of the leftmost minimum pair rank."""
         n = len(part)
@@ -127,6 +130,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
+        self.bpe.forget()
         self.at: dict[str, int] = {}
         self.ids: list[int] = []
         self.starts: list[int] = [0]
