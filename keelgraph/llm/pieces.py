@@ -31,15 +31,14 @@ def _boundaries(text: str) -> tuple[list[int], list[int]]:
     """Positions of the boundaries and their strengths, in order; none inside what should stay whole."""
     spans = [m.span() for m in _WHOLE.finditer(text)]
     starts = [a for a, _ in spans]
-    at, strength = [], []
+    found = {k: 2 for span in spans for k in span if 0 < k < len(text)}
     for m in _BOUNDARY.finditer(text):
         k = m.end()
         i = bisect_left(starts, k) - 1
-        if i >= 0 and k < spans[i][1]:
-            continue
-        at.append(k)
-        strength.append(int(m.lastgroup[1]))
-    return at, strength
+        if i < 0 or k >= spans[i][1]:
+            found[k] = max(found.get(k, 0), int(m.lastgroup[1]))
+    at = sorted(found)
+    return at, [found[k] for k in at]
 
 
 def _joined(text: str, k: int) -> bool:
