@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelgraph.operators.ordinals import ordinal
+from keelgraph.session import spread
 
 SIZE, OVERLAP = 512, 50
 # Where to split, strongest first.
@@ -112,7 +113,7 @@ def chunk_texts(texts: DataFrame, key: str, text: str, size: int = SIZE, overlap
             rows = [(k, i, c) for k, t in zip(batch[key], batch[text]) for i, c in enumerate(split_protected(t, size, overlap, formulas, tables))]
             yield pd.DataFrame(rows, columns=[key, "pos", "chunk_content"])
 
-    return texts.select(key, text).where(F.col(text).isNotNull()).mapInPandas(run, schema)
+    return spread(texts.select(key, text).where(F.col(text).isNotNull())).mapInPandas(run, schema)
 
 
 def number_chunks(chunks: DataFrame, order: list[str], source: str) -> DataFrame:

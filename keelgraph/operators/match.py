@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelgraph.functions.text import NO_MATCH
+from keelgraph.session import spread
 
 #: Length of the character sequences that texts and names are joined on.
 GRAM = 3
@@ -35,7 +36,7 @@ def matches(texts: DataFrame, names: DataFrame, key: str, text: str, n: int = GR
     shared = long.groupBy("gram").agg(F.count("*").alias("names"))
     anchors = long.join(shared, "gram").groupBy("entity_name").agg(F.min(F.struct("names", "gram")).alias("a")).select("entity_name", "a.gram")
     anchors = anchors.unionByName(names.where(F.length("entity_name") < n).withColumn("gram", F.col("entity_name")))
-    source = texts.select(key, text).where(F.col(text).isNotNull())
+    source = spread(texts.select(key, text).where(F.col(text).isNotNull()))
     spans = F.array(*[_grams(text, k) for k in range(1, n + 1)])
     wanted = anchors.select("gram").distinct()
     grams = source.select(key, F.explode(F.flatten(spans)).alias("gram")).join(wanted, "gram", "left_semi")

@@ -28,6 +28,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over at least as many partitions as there are cores, for work that is heavy for the bytes it reads.
+
+    Only an input of few splits is shuffled; one of many is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def durable(df: DataFrame) -> DataFrame:
     """The rows of df with their lineage cut, in the shared folder of spark.checkpoint.dir.
 
