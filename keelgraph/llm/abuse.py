@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelgraph.functions.lookalike import fold
+from keelgraph.session import spread
 
 #: Buckets of the n-gram weights, and of the bigram and trigram counts of the language model.
 BUCKETS, BIGRAMS, TRIGRAMS = 1 << 20, 1 << 18, 1 << 20
@@ -228,7 +229,7 @@ def character_model(documents: DataFrame, text: str) -> CharacterModel:
         at = np.flatnonzero(both)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(both[at], pa.int64())], ["bucket", "n"])
 
-    sums = documents.select(text).where(f"{text} <> ''").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    sums = spread(documents.select(text).where(f"{text} <> ''")).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     both = np.zeros(BIGRAMS + TRIGRAMS, np.float32)
     both[sums["bucket"].to_numpy(np.int64)] = sums["n"].to_numpy(np.float32)
     return CharacterModel(both[:BIGRAMS], both[BIGRAMS:])
@@ -374,7 +375,7 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids, sources, pa.array(scores, pa.float64()), pa.array(worst, pa.string())],
                                                  ["doc_id", "source", "score", "passage"])
 
-    return documents.select("doc_id", "source", "text").mapInArrow(run, "doc_id long, source string, score double, passage string")
+    return spread(documents.select("doc_id", "source", "text")).mapInArrow(run, "doc_id long, source string, score double, passage string")
 
 
 #: Documents with this score or more are found.

@@ -183,7 +183,9 @@ def _leading(keys: DataFrame) -> DataFrame:
     """(key, root): every key that is a slip of another, with the key meant."""
     counts = keys.select(F.explode(_units("key")).alias("unit")).groupBy("unit").agg(F.count("*").alias("n"))
     of = lambda column, n: counts.select(F.col("unit").alias(column), F.col("n").alias(n))
-    told = _pairs(keys).mapInPandas(_told, _TOLD).join(of("made", "n_made"), "made", "left").join(of("spoilt", "n_spoilt"), "spoilt", "left")
+    # By number, so that Python's share isn't merged into a few tasks for its few bytes.
+    parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    told = _pairs(keys).repartition(parts).mapInPandas(_told, _TOLD).join(of("made", "n_made"), "made", "left").join(of("spoilt", "n_spoilt"), "spoilt", "left")
     odds = F.when(F.col("kind") == "space", F.lit(1e9)).otherwise(F.coalesce("n_spoilt", F.lit(0)) / F.greatest(F.coalesce("n_made", F.lit(0)), F.lit(1)))
     judged = durable(told.groupBy("key", "parent", "kind", "short", "way").agg(F.min(odds).alias("odds")))
     # A character mistaken for another in several names is believed in any other name, too.

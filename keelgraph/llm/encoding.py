@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keelgraph.session import spread
+
 TOKENIZERS = "/opt/tokenizers"
 #: Fixed value: the pattern of the byte-level tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -212,7 +214,7 @@ def encode(df: DataFrame, key: str, text: str, path: str | None = None) -> DataF
 
     kind = df.schema[key].dataType
     schema = T.StructType([T.StructField("key", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return df.select(key, text).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return spread(df.select(key, text)).mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 def token_length(path: str | None = None):

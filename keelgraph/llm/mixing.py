@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from keelgraph.llm.encoding import token_length
 from keelgraph.operators.ordinals import seeded_rank
-from keelgraph.session import durable
+from keelgraph.session import durable, spread
 
 #: The part of a budget, in tokens, that the subset-sum search decides exactly.
 WINDOW = 20_000
@@ -68,7 +68,7 @@ def fit_budget(lengths: np.ndarray, supply: np.ndarray, budget: int, seed: int =
 def sized(documents: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, source, tokens) of the documents with any token, kept so that no text is encoded twice."""
     # Filtered only after it is kept: else the filter would have every text encoded a second time.
-    return durable(documents.select("doc_id", "source", token_length(path)("text").alias("tokens"))).where("tokens > 0")
+    return durable(spread(documents.select("doc_id", "source", "text")).select("doc_id", "source", token_length(path)("text").alias("tokens"))).where("tokens > 0")
 
 
 def plan(sizes: DataFrame, targets: DataFrame, total: int | None = None, seed: int = 0) -> DataFrame:

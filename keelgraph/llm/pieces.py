@@ -11,6 +11,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from keelgraph.session import spread
+
 LIMIT, OVERLAP = 512, 50
 
 #: What should stay in one piece: display and inline formulas, tables, images.
@@ -96,4 +98,4 @@ def split_oversized(df: DataFrame, key: str, text: str, limit: int = LIMIT, over
                 rows += [(k, i, len(found), a, r, whole[a - r : b]) for i, (a, r, b) in enumerate(found)]
             yield pd.DataFrame(rows, columns=schema.names)
 
-    return df.select(key, text).where(df[text].isNotNull()).mapInPandas(run, schema)
+    return spread(df.select(key, text).where(df[text].isNotNull())).mapInPandas(run, schema)
