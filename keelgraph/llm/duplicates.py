@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import regex
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelgraph.functions.lookalike import fold, look_key
-from keelgraph.session import durable
+from keelgraph.session import durable, spread
 
 # Units and letters written in several ways.
 UNITS = {"毫米": "mm", "微米": "μm", "um": "μm", "厘米": "cm", "千欧": "kω", "kohm": "kω", "平方米": "m2", "㎡": "m2",
@@ -38,6 +39,7 @@ _MARKED = regex.compile(r"^(\d+)\s*(?:#|号)")
 _UNIT = regex.compile(r"(\d)\s*(" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![a-z])")
 _ABBREVIATION = regex.compile(r"\s*[(（\[【〔]\s*\p{L}[a-z.]{0,7}\s*[)）\]】〕]\s*$")
 _TOKEN = regex.compile(r"\p{N}+|\p{Han}|[^\W\p{N}\p{Han}_]+|[°%‰±+]")
+_NUMBERS, _WORDS = regex.compile(r"\p{N}+"), regex.compile(r"[^\W\p{N}\p{Han}_]+")
 _ROMAN = regex.compile(r"[ivx]+$")
 
 
@@ -51,7 +53,7 @@ def name_key(name: str) -> str:
     x = unicodedata.normalize("NFC", x).strip()
     while len(x) > 2 and QUOTES.get(x[0]) == x[-1]:
         x = x[1:-1].strip()
-    found = _ABBREVIATION.search(x)
+    found = _ABBREVIATION.search(x) if x[-1:] in ")）]】〕" else None
     if found and found.start():
         inner = found.group().strip(" ()（）[]【】〔〕")
         if inner.isascii():
@@ -61,9 +63,9 @@ def name_key(name: str) -> str:
     tokens = _TOKEN.findall(x)
     out, word_before = [], False
     for i, t in enumerate(tokens):
-        letters = t[0].isalpha() and not regex.match(r"\p{Han}", t)
+        letters = _kind(t[0]) == "letter"
         if letters:
-            beside = any(regex.match(r"\p{N}", n) for n in tokens[max(0, i - 1) : i] + tokens[i + 1 : i + 2])
+            beside = any(_kind(n[0]) == "number" for n in tokens[max(0, i - 1) : i] + tokens[i + 1 : i + 2])
             if len(t) <= 3 and (beside or _ROMAN.match(t) or (i and tokens[i - 1] == "°")):
                 t = t.upper()
         word = letters and not t.isupper()
@@ -74,6 +76,16 @@ def name_key(name: str) -> str:
     return "".join(out) or x
 
 
+@lru_cache(maxsize=1 << 16)
+def _kind(c: str) -> str:
+    """`number`, `han`, `letter` or `other`."""
+    if regex.match(r"\p{N}", c):
+        return "number"
+    if regex.match(r"\p{Han}", c):
+        return "han"
+    return "letter" if c.isalpha() else "other"
+
+
 @F.pandas_udf(T.StringType())
 def name_keys(names: pd.Series) -> pd.Series:
     return names.map({v: name_key(v) for v in names.dropna().unique()}).astype(object)
@@ -81,10 +93,9 @@ def name_keys(names: pd.Series) -> pd.Series:
 
 def units(key: str) -> set[str]:
     """The words of Latin letters, and the pairs of neighbours elsewhere, numbers being alike."""
-    shape = regex.sub(r"\p{N}+", "0", key)
-    words = regex.findall(r"[^\W\p{N}\p{Han}_]+", shape)
-    marked = "^" + regex.sub(r"[^\W\p{N}\p{Han}_]+", "~", shape).replace("~ ~", "~").replace(" ", "") + "$"
-    return set(words) | {marked[i : i + 2] for i in range(len(marked) - 1)}
+    shape = _NUMBERS.sub("0", key)
+    marked = "^" + _WORDS.sub("~", shape).replace("~ ~", "~").replace(" ", "") + "$"
+    return set(_WORDS.findall(shape)) | {marked[i : i + 2] for i in range(len(marked) - 1)}
 
 
 def _change(a: str, b: str) -> tuple[str, int] | None:
@@ -119,7 +130,7 @@ def slips(a: str, b: str) -> list[tuple[str, str, str, list[tuple[str, str]]]]:
     out = []
     for x, y in ((a, b), (b, a)):  # x meant, y slipped
         long = x if len(x) > len(y) else y
-        letters = long[i : i + 1].isalpha() and not regex.match(r"\p{Han}", long[i])
+        letters = _kind(long[i]) == "letter"
         if letters:
             u, v = x.split(" "), y.split(" ")
             different = [(n, m) for m, n in zip(map(_word, u), map(_word, v)) if m != n] if len(u) == len(v) else []
@@ -143,11 +154,11 @@ def slips(a: str, b: str) -> list[tuple[str, str, str, list[tuple[str, str]]]]:
 
 def _pair(marked: str, i: int) -> str:
     """Two neighbours as `units` writes them: numbers alike, and Latin letters alike."""
-    return "".join("0" if regex.match(r"\p{N}", c) else "~" if c.isalpha() and not regex.match(r"\p{Han}", c) else c for c in marked[i : i + 2])
+    return "".join("0" if _kind(c) == "number" else "~" if _kind(c) == "letter" else c for c in marked[i : i + 2])
 
 
 def _word(w: str) -> str:
-    return "".join(regex.findall(r"[^\W\p{N}\p{Han}_]+", w))
+    return "".join(_WORDS.findall(w))
 
 
 def _pairs(keys: DataFrame) -> DataFrame:
@@ -216,7 +227,7 @@ def group_records(records: DataFrame, key: str, name: str) -> DataFrame:
     A record with a null or empty name is a thing of its own (root null). Repeated names are compared once, so a name that
     holds a third of the rows costs no more than another; names are compared only with those one deletion away.
     """
-    keyed = records.select(key, name_keys(F.when(F.col(name) != "", F.col(name))).alias("name_key"))
+    keyed = durable(spread(records.select(key, name)).select(key, name_keys(F.when(F.col(name) != "", F.col(name))).alias("name_key")))
     leading = _leading(keyed.select(F.col("name_key").alias("key")).where("key <> ''").distinct())
     rooted = keyed.join(leading.withColumnRenamed("key", "name_key"), "name_key", "left").select(
         key, F.coalesce("root", "name_key").alias("root"), (F.col("root") != F.col("name_key")).alias("slipped"))
