@@ -15,7 +15,8 @@ def build(mentions: DataFrame, order: list[str], within: list[str] | None = None
 
     Lists hold the distinct values in order of first appearance; summaries are folded in order. `within` are columns, such as
     a range of chunks, that are merged apart: the fold depends on them, so ranges are merged by `merge` afterwards. Names are
-    compared exactly; null names are left out; null values stay out of the lists, null summaries are empty ones.
+    compared exactly; null names are left out; null values stay out of the lists, null summaries are empty ones. A name's
+    row holds all its different summaries after each other, by the meaning of the fold, so its size follows the name's.
     """
     by = [F.col(c) for c in order]
     distinct = lambda value: F.array_distinct(F.filter(ordered(by, value), lambda x: x.isNotNull()))

@@ -47,15 +47,6 @@ def matches(texts: DataFrame, names: DataFrame, key: str, text: str, n: int = GR
     return found.select(key, "entity_name", F.row_number().over(place).alias("place"))
 
 
-def matches_by_nested_loop(texts: DataFrame, names: DataFrame, key: str, text: str) -> DataFrame:
-    """`matches` by comparing every text with every name: the meaning of the operator, for few names."""
-    names = names.select("entity_name").where("entity_name <> ''").distinct()
-    found = texts.select(key, text).join(names, F.contains(F.col(text), F.col("entity_name")))
-    end = F.instr(F.col(text), F.col("entity_name")) + F.length("entity_name")
-    place = Window.partitionBy(key).orderBy(end, F.length("entity_name").desc())
-    return found.select(key, "entity_name", F.row_number().over(place).alias("place"))
-
-
 def context(texts: DataFrame, matched: DataFrame, names: DataFrame, key: str, most: int = 15) -> DataFrame:
     """(key, context): the first matches of every text as lines `- name (types): summary...` for a prompt.
 

@@ -92,7 +92,8 @@ def parse_output(outputs: DataFrame, kind: str, accept_predicate: bool = False)
 
 
 def parsed_entities(parsed: DataFrame) -> DataFrame:
-    return parsed.select(F.explode("entities").alias("e")).select("e.*")
+    """The entities with their place `pos` in their chunk's output."""
+    return parsed.select(F.posexplode("entities").alias("pos", "e")).select("e.*", "pos")
 
 
 def parsed_triples(parsed: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def csv_to_fixes(lines: DataFrame, value: str = "value", most: int = 32) -> Data
     """
     bare = lines.select(_unquoted(F.col(value)).alias("v")).where(~F.col("v").isin(*_HEADER) & (F.col("v") != ""))
     schema = ", ".join(f"f{i} STRING" for i in range(most))
-    row = F.from_csv("v", F.lit(schema), {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    row = F.from_csv("v", F.lit(schema), {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "nullValue": "\x01"})
     fields = F.filter(F.array(*[F.col(f"r.f{i}") for i in range(3, most)]), lambda x: x.isNotNull())
     rows = bare.select(row.alias("r")).select(F.expr("try_cast(trim(r.f0) AS BIGINT)").alias("index"), F.trim("r.f1").alias("subject"), F.trim("r.f2").alias("relation"),
                                               F.array_join(fields, ",").alias("object"))

@@ -71,7 +71,7 @@ def _entity_outputs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_parse_entities(spark: SparkSession, folder: str) -> DataFrame:
-    return parse.parsed_entities(parse.parse_output(_entity_outputs(spark, folder), "entities"))
+    return parse.parsed_entities(parse.parse_output(_entity_outputs(spark, folder), "entities")).drop("pos")
 
 
 def llm_rejects(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,6 +89,33 @@ def llm_parse_triples(spark: SparkSession, folder: str) -> DataFrame:
     return parse.parsed_triples(parse.parse_output(_triple_outputs(spark, folder), "triples"))
 
 
+def _said_of_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """(chunk_id, items): each chunk's mentions as an extractor would list them."""
+    item = F.struct("entity_name", "type", "domain_relevance", "summary", F.lit("?").alias("chunk_id"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("entity_id", item.alias("item")))), lambda x: x["item"])
+    return _mentions(spark, folder).where("chunk_id IS NOT NULL").groupBy("chunk_id").agg(listed.alias("items"))
+
+
+def entity_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks and prompts to the knowledge base, with the stored outputs replayed, in ranges of 20 chunks."""
+    todo = extract.extractable(table(spark, folder, "chunks"))
+    prompts = todo.select("chunk_id", extract.render(extract.ENTITY_PROMPT, chunk_id=F.col("chunk_id"), text=F.col("text")).alias("prompt"))
+    stored = _said_of_chunks(spark, folder).select("chunk_id", F.concat(F.lit("```json\n"), F.to_json("items"), F.lit("\n```")).alias("raw"))
+    raw = extract.Replay(stored).extract(prompts).where("raw IS NOT NULL")
+    mentions = parse.parsed_entities(parse.parse_output(raw, "entities")).withColumn("chunk_id", F.col("chunk_id").cast("long"))
+    mentions = mentions.withColumn("range", kb.range_of(F.col("chunk_id"), 20))
+    return _flat(kb.merge(kb.build(mentions, ["chunk_id", "pos"], ["range"]), ["range"]))
+
+
+def joint_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """(chunk_id, entities, triples): how many of each one output for both gives."""
+    rows = table(spark, folder, "triples").where("chunk_id RLIKE '^[0-9]+$'").withColumn("chunk_id", F.col("chunk_id").cast("long"))
+    said = rows.groupBy("chunk_id").agg(F.collect_list(F.struct("subject", F.col("relation").alias("predicate"), "object")).alias("triples"))
+    both = said.join(_said_of_chunks(spark, folder), "chunk_id", "full").select("chunk_id", F.to_json(F.struct(F.col("items").alias("entities"), "triples")).alias("raw"))
+    parsed = parse.parse_output(both, "joint", accept_predicate=True)
+    return parsed.select("chunk_id", F.size("entities").alias("entities"), F.size("triples").alias("triples"))
+
+
 def relation_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """Chunks, known names and prompts to triples, with the stored outputs replayed."""
     chunks = table(spark, folder, "chunks")
@@ -167,6 +194,13 @@ def txt_to_csv(spark: SparkSession, folder: str) -> DataFrame:
     return repair.text_to_fixes(_fix_lines(spark, folder))
 
 
+def quoted_txt_to_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The same fixes with two objects each, so that fields are left over."""
+    fixes = _fixes(spark, folder, _placed(spark, folder)).where("NOT contains(coalesce(subject, ''), ',') AND NOT contains(concat(coalesce(subject, ''), coalesce(object, '')), '\"')")
+    text = lambda c: F.coalesce(c, F.lit(""))
+    return repair.csv_to_fixes(fixes.select(F.concat(F.lit('"'), F.concat_ws(",", F.col("index").cast("string"), text("subject"), "relation", text("object"), text("object")), F.lit('"')).alias("value")))
+
+
 def _graph_nodes(records: DataFrame) -> DataFrame:
     props = F.map_filter(F.map_from_arrays(F.array(F.lit("summary"), F.lit("origin")), F.array("summary", "origin")), lambda _, v: v.isNotNull())
     return records.select(F.col("entity_name").alias("id"), F.coalesce("type", F.array().cast("array<string>")).alias("labels"), props.alias("props"), "entity_id")
@@ -199,7 +233,7 @@ def import_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     entity_kb_build, entity_kb_merge, entity_lookup, entity_stats, entity_type_histogram, dictionary_match, match_topk_context, llm_parse_entities,
-    llm_rejects, llm_parse_triples, relation_pipeline, triples_union, triples_by_month, triples_vocab_report, enrich_entities, nodes_csv, edges_csv,
+    llm_rejects, llm_parse_triples, relation_pipeline, entity_pipeline, joint_pipeline, quoted_txt_to_csv, triples_union, triples_by_month, triples_vocab_report, enrich_entities, nodes_csv, edges_csv,
     label_clean, label_distribution, relation_fix, chinese_relation_rows, txt_to_csv, node_upsert, edge_upsert, import_counts)}
 
 
@@ -271,6 +305,16 @@ ORACLE = {
     "chinese_relation_rows": rf"WITH {_PLACED} SELECT ordinal + 1 AS index, subject, relation, object FROM p WHERE regexp_matches(relation, '[\x{{4E00}}-\x{{9FFF}}]')",
     "txt_to_csv": f"""WITH {_PLACED} SELECT ordinal + 1 AS index, coalesce(subject, '') AS subject, v.relation, coalesce(object, '') AS object FROM p JOIN relation_vocab v ON p.relation = v.label_zh
         WHERE NOT contains(coalesce(subject, ''), ',') AND NOT contains(coalesce(object, ''), '"')""",
+    "entity_pipeline": f"""WITH n AS (SELECT entity_name, type[1] AS type, domain_relevance[1] AS dr, summary, chunk_ids[1] AS chunk_id, entity_id, chunk_ids[1] // 20 AS range FROM entities
+            WHERE chunk_ids[1] IN (SELECT metadata FROM chunks WHERE regexp_replace(chunk_content, {STRIP}) <> '') AND entity_name IS NOT NULL AND type[1] IS NOT NULL AND domain_relevance[1] IS NOT NULL AND summary IS NOT NULL),
+        g AS (SELECT range, entity_name, list(type ORDER BY chunk_id, entity_id) AS t, list(dr ORDER BY chunk_id, entity_id) AS d, list(summary ORDER BY chunk_id, entity_id) AS s, list(chunk_id ORDER BY chunk_id, entity_id) AS c FROM n GROUP BY 1, 2),
+        r AS (SELECT range, entity_name, {_first('t')} AS type, {_first('d')} AS domain_relevance, {_fold('s')} AS summary, {_first('c')} AS chunk_ids FROM g),
+        {_merged('r', 'range')} SELECT * FROM m""",
+    "joint_pipeline": """WITH e AS (SELECT chunk_ids[1] AS c, count(*) FILTER (entity_name IS NOT NULL AND type[1] IS NOT NULL AND domain_relevance[1] IS NOT NULL AND summary IS NOT NULL) AS n FROM entities WHERE chunk_ids[1] IS NOT NULL GROUP BY 1),
+        t AS (SELECT CAST(chunk_id AS BIGINT) AS c, count(*) FILTER (subject IS NOT NULL AND relation IS NOT NULL AND object IS NOT NULL) AS n FROM triples WHERE regexp_matches(chunk_id, '^[0-9]+$') GROUP BY 1)
+        SELECT CAST(coalesce(e.c, t.c) AS VARCHAR) AS chunk_id, coalesce(e.n, 0) AS entities, coalesce(t.n, 0) AS triples FROM e FULL JOIN t ON e.c = t.c""",
+    "quoted_txt_to_csv": f"""WITH {_PLACED} SELECT ordinal + 1 AS index, trim(coalesce(subject, '')) AS subject, v.relation, coalesce(object, '') || ',' || coalesce(object, '') AS object FROM p JOIN relation_vocab v ON p.relation = v.label_zh
+        WHERE NOT contains(coalesce(subject, ''), ',') AND NOT contains(coalesce(subject, '') || coalesce(object, ''), '"')""",
     "node_upsert": f"""WITH o AS (SELECT entity_name AS id, arg_max(coalesce(type, []), entity_id) AS type, arg_max(struct_pack(s := summary, o := origin), entity_id) AS v FROM entities WHERE loaded_at < '2024-07-01' GROUP BY 1),
         n AS (SELECT entity_name AS id, flatten(list(coalesce(type, []) ORDER BY entity_id)) AS type, arg_max(summary, entity_id) FILTER (summary IS NOT NULL) AS s, arg_max(origin, entity_id) FILTER (origin IS NOT NULL) AS og FROM entities WHERE loaded_at >= '2024-07-01' GROUP BY 1),
         j AS (SELECT coalesce(o.id, n.id) AS id, list_concat(coalesce(o.type, []), coalesce(n.type, [])) AS l, coalesce(n.s, o.v.s) AS summary, coalesce(n.og, o.v.o) AS origin FROM o FULL JOIN n ON o.id = n.id)

@@ -81,3 +81,12 @@ def write_range(rows: DataFrame, path: str, range_column: str = "range_start") -
 def write_edges_in_order(edges: DataFrame, path: str, order: list[str]) -> None:
     """Edge rows with their place, so that a later fix by place finds the same rows."""
     ordinal(edges, order).write.mode("overwrite").parquet(path)
+
+
+def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
+    """Both tables of a graph, whatever was there being cleared: nodes sorted by name within files, edges by relation.
+
+    The sorting lets a lookup by name or relation skip most of the files, as an index would.
+    """
+    nodes.sortWithinPartitions("name").write.mode("overwrite").parquet(f"{path}/nodes")
+    edges.sortWithinPartitions(F.col("`:TYPE`")).write.mode("overwrite").parquet(f"{path}/edges")

@@ -76,3 +76,11 @@ def test_windows_with_late_rows(spark, tmp_path):
     query = counted.writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start()
     query.awaitTermination()
     assert {(r.relation, r.triples) for r in spark.sql("SELECT relation, triples FROM windows").collect()} == {("r", 2), ("q", 1)}
+
+
+def test_graph_tables(spark, tmp_path):
+    nodes = spark.createDataFrame([("entity_1", "a"), ("entity_2", "b")], "`id:ID` string, name string")
+    edges = spark.createDataFrame([("entity_1", "entity_2", "has")], "`:START_ID` string, `:END_ID` string, `:TYPE` string")
+    for _ in range(2):
+        files.write_graph(nodes, edges, str(tmp_path / "g"))
+    assert spark.read.parquet(str(tmp_path / "g" / "nodes")).count() == 2 and spark.read.parquet(str(tmp_path / "g" / "edges")).count() == 1
