@@ -37,7 +37,7 @@ SEEN = 2
 _NUMBER = regex.compile(r"^(?:no\.?|nr\.?|第)\s*(\d+)\s*(?:号|#)?")
 _MARKED = regex.compile(r"^(\d+)\s*(?:#|号)")
 _UNIT = regex.compile(r"(\d)\s*(" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![a-z])")
-_ABBREVIATION = regex.compile(r"\s*[(（\[【〔]\s*\p{L}[a-z.]{0,7}\s*[)）\]】〕]\s*$")
+_ABBREVIATION = regex.compile(r"\s*[(（\[【〔]\s*\p{L}[a-z.]{1,7}\s*[)）\]】〕]\s*$")
 _TOKEN = regex.compile(r"\p{N}+|\p{Han}|[^\W\p{N}\p{Han}_]+|[°%‰±+]")
 _NUMBERS, _WORDS = regex.compile(r"\p{N}+"), regex.compile(r"[^\W\p{N}\p{Han}_]+")
 _ROMAN = regex.compile(r"[ivx]+$")
@@ -248,6 +248,10 @@ TRUST = {"manual": 5.0, "import_csv": 3.0, "rule": 2.0, "model_a": 1.5, "model_b
 OTHER_TRUST, DELETED = 0.5, 0.25
 # Texts that stand for none.
 PLACEHOLDERS = ("", "信息待补充", "待补充", "暂无", "无", "未知", "unknown", "n/a", "na", "none", "null", "tbd", "todo", "-", "—", "?")
+#: A summary that says no more than that the text mentions something of a type.
+_MENTIONED = r"^原文中提及的.{0,8}$"
+#: Characters from which on a summary counts as complete.
+COMPLETE = 40
 
 
 def _language(text):
@@ -270,14 +274,15 @@ def survivors(records: DataFrame, groups: DataFrame) -> DataFrame:
 
     Dependent fields are bundles that are taken whole: the name; type with domain_relevance; summary with chunk_ids, the
     chunks it was written from. A bundle's trust is that of the records holding it, by origin and deletion, weighed by its
-    completeness. Branch and bound chooses the bundles of most trust together under two dependencies: the name decides the
-    summary's language, and the summary's chunks the relevance (a thing without any chunk can't be `domain_specific` by
-    chunks alone, so such a bundle must be matched by a class of known type). If no choice meets them, the dependencies
-    give way, the second first. Records without a name survive as they are. Fields no record fills are null.
+    completeness: placeholders count as missing, cut summaries half, and a name that is a slip of the thing's a tenth. Branch
+    and bound chooses the bundles of most trust together under two dependencies: the name decides the summary's language,
+    and a relevance of `domain_specific` needs something to rest on, a type or a passage with chunks. If no choice meets
+    them, the dependencies give way, the second first. Records without a name survive as they are; fields that no record
+    fills are null. Repeated rows count as records each; other columns aren't read.
     """
     trust = F.coalesce(F.create_map(*[F.lit(x) for kv in TRUST.items() for x in kv])[F.col("origin")], F.lit(OTHER_TRUST))
     trust = trust * F.when(F.col("deleted_at").isNull(), 1.0).otherwise(DELETED)
-    clean = lambda c: F.when(~F.lower(F.trim(c)).isin(*PLACEHOLDERS), F.col(c))
+    clean = lambda c: F.when(~F.lower(F.trim(c)).isin(*PLACEHOLDERS) & ~F.col(c).rlike(_MENTIONED), F.col(c))
     items = lambda c: F.array_distinct(F.filter(c, lambda x: x.isNotNull() & ~F.lower(F.trim(x.cast("string"))).isin(*PLACEHOLDERS)))
     rows = (
         records.select("entity_id", "entity_name", "origin", "deleted_at", "extracted_at", clean("summary").alias("summary"),
@@ -295,7 +300,7 @@ def survivors(records: DataFrame, groups: DataFrame) -> DataFrame:
     classes = _candidates(classes, "class", ["typed", "specific"], F.col("trust") * (F.when(F.col("typed"), 1.0).otherwise(0.3)))
     passages = rows.where(F.col("summary").isNotNull() | filled("chunk_ids")).withColumn("passage", F.struct("summary", "chunk_ids"))
     passages = passages.withColumn("language", _language(F.col("summary"))).withColumn("cited", filled("chunk_ids"))
-    complete = F.when(F.col("passage.summary").isNotNull(), F.log2(F.length("passage.summary") + 2)).otherwise(1.0) * F.when(F.col("cited"), 1.0).otherwise(0.5)
+    complete = F.when(F.col("passage.summary").isNotNull(), F.log2(F.least(F.length("passage.summary"), F.lit(COMPLETE)) + 2) * F.when(F.col("passage.summary").rlike(r"(\.\.\.|…)$"), 0.5).otherwise(1.0)).otherwise(1.0) * F.when(F.col("cited"), 1.0).otherwise(0.5)
     passages = _candidates(passages, "passage", ["language", "cited"], F.col("trust") * complete)
     listed = lambda df, sig: df.groupBy("root").agg(F.collect_list(F.struct(*sig, "best")).alias("of"))
     whole = rows.groupBy("root").agg(F.min("first").alias("entity_id"), F.count("*").alias("records"))
