@@ -107,3 +107,8 @@ def import_counts(incoming_nodes: DataFrame, incoming_edges: DataFrame, node_ids
     valid = incoming_edges.join(ids.toDF("start"), "start", "left_semi").join(ids.toDF("end"), "end", "left_semi")
     counted = incoming_nodes.where("id IS NOT NULL").select(F.lit(1).alias("e"), F.lit(0).alias("r")).unionAll(valid.select(F.lit(0), F.lit(1)))
     return counted.agg(F.coalesce(F.sum("e"), F.lit(0)).alias("entities_imported"), F.coalesce(F.sum("r"), F.lit(0)).alias("relations_imported"))
+
+
+def importable(node_rows: DataFrame) -> DataFrame:
+    """The rows to import: none where the label column is missing."""
+    return node_rows if ":LABEL" in node_rows.columns else node_rows.limit(0)

@@ -58,3 +58,10 @@ def context(texts: DataFrame, matched: DataFrame, names: DataFrame, key: str, mo
     listed = matched.where(F.col("place") <= most).join(names, "entity_name").groupBy(key).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", line.alias("line")))), lambda x: x["line"]), "\n").alias("context"))
     return texts.select(key).join(listed, key, "left").select(key, F.coalesce("context", F.lit(NO_MATCH)).alias("context"))
+
+
+def known_entities(texts: DataFrame, matched: DataFrame, names: DataFrame, key: str) -> DataFrame:
+    """(key, entities): all matches of every text, in order, as one JSON list of their records; `[]` without matches."""
+    record = F.struct("place", F.struct(*names.columns).alias("record"))
+    listed = matched.join(names, "entity_name").groupBy(key).agg(F.to_json(F.transform(F.array_sort(F.collect_list(record)), lambda x: x["record"])).alias("entities"))
+    return texts.select(key).join(listed, key, "left").select(key, F.coalesce("entities", F.lit("[]")).alias("entities"))

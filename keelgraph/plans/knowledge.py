@@ -9,7 +9,8 @@ from keelgraph.functions.text import joined
 from keelgraph.operators import extract, graph, kb, match, parse, repair, triples
 from keelgraph.operators.ordinals import ordinal
 from keelgraph.plans.texts import STRIP
-from keelgraph.session import table
+from keelgraph.session import shared_path, table
+from keelgraph.streaming import incremental
 
 FIELDS = ["type", "domain_relevance", "summary", "chunk_ids"]
 
@@ -63,6 +64,12 @@ def match_topk_context(spark: SparkSession, folder: str) -> DataFrame:
     return match.context(texts, match.matches(texts, names, "metadata", "chunk_content"), names, "metadata")
 
 
+def match_all_json(spark: SparkSession, folder: str) -> DataFrame:
+    names = match.dictionary(entities(spark, folder).select("entity_id", "entity_name", F.coalesce("summary", F.lit("")).alias("summary")), "entity_id", ["summary"])
+    texts = _named_chunks(spark, folder)
+    return match.known_entities(texts, match.matches(texts, names, "metadata", "chunk_content"), names, "metadata")
+
+
 def _entity_outputs(spark: SparkSession, folder: str) -> DataFrame:
     """What an extractor would have said of each record; those of model_b go on after the JSON."""
     item = F.struct("entity_name", F.col("type"), F.col("domain_relevance"), "summary", F.lit("0").alias("chunk_id"))
@@ -121,8 +128,8 @@ def relation_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     chunks = table(spark, folder, "chunks")
     todo = extract.extractable(chunks)
     names = match.dictionary(entities(spark, folder), "entity_id", ["type", "summary"])
-    known = match.context(todo, match.matches(todo, names, "chunk_id", "text"), names, "chunk_id")
-    prompts = todo.join(known, "chunk_id").select("chunk_id", extract.render(extract.RELATION_PROMPT, entities=F.col("context"), chunk_id=F.col("chunk_id"), text=F.col("text")).alias("prompt"))
+    known = match.known_entities(todo, match.matches(todo, names, "chunk_id", "text"), names, "chunk_id")
+    prompts = todo.join(known, "chunk_id").select("chunk_id", extract.render(extract.RELATION_PROMPT, entities=F.col("entities"), chunk_id=F.col("chunk_id"), text=F.col("text")).alias("prompt"))
     raw = extract.Replay(_triple_outputs(spark, folder)).extract(prompts).where("raw IS NOT NULL")
     return parse.parsed_triples(parse.parse_output(raw, "triples")).groupBy("chunk_id").agg(F.count("*").alias("triples"))
 
@@ -137,6 +144,17 @@ def triples_by_month(spark: SparkSession, folder: str) -> DataFrame:
     return triples.counts_by(table(spark, folder, "triples").withColumn("month", F.date_format("loaded_at", "yyyy-MM")), "month")
 
 
+def triples_streamed_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Triples per day of load and relation, counted by a stream that reads the table file by file."""
+    path = f"{folder}/triples.parquet"
+    # as a pattern, the path may be a single file as well as a folder
+    rows = incremental.stream(spark, f"{path[:-1]}[t]", spark.read.parquet(path).schema, files_per_batch=4)
+    rows = rows.select("relation", F.col("loaded_at").cast("timestamp").alias("loaded_at"))
+    target = shared_path(spark, "counts")
+    incremental.counted(incremental.windowed_counts(rows), shared_path(spark, "stream"), target)
+    return spark.read.parquet(target).select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "relation", "triples")
+
+
 def triples_vocab_report(spark: SparkSession, folder: str) -> DataFrame:
     return triples.vocabulary_report(table(spark, folder, "triples"), table(spark, folder, "relation_vocab"))
 
@@ -232,8 +250,8 @@ def import_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    entity_kb_build, entity_kb_merge, entity_lookup, entity_stats, entity_type_histogram, dictionary_match, match_topk_context, llm_parse_entities,
-    llm_rejects, llm_parse_triples, relation_pipeline, entity_pipeline, joint_pipeline, quoted_txt_to_csv, triples_union, triples_by_month, triples_vocab_report, enrich_entities, nodes_csv, edges_csv,
+    entity_kb_build, entity_kb_merge, entity_lookup, entity_stats, entity_type_histogram, dictionary_match, match_topk_context, match_all_json, llm_parse_entities,
+    llm_rejects, llm_parse_triples, relation_pipeline, entity_pipeline, joint_pipeline, quoted_txt_to_csv, triples_union, triples_by_month, triples_streamed_by_day, triples_vocab_report, enrich_entities, nodes_csv, edges_csv,
     label_clean, label_distribution, relation_fix, chinese_relation_rows, txt_to_csv, node_upsert, edge_upsert, import_counts)}
 
 
@@ -288,6 +306,9 @@ ORACLE = {
     "dictionary_match": f"WITH {_MATCHES} SELECT metadata, entity_name, place FROM m",
     "match_topk_context": f"""WITH {_MATCHES}, l AS (SELECT metadata, string_agg('- ' || entity_name || ' (' || array_to_string(type[1:3], ', ') || '): ' || substr(summary, 1, 100) || '...', chr(10) ORDER BY place) AS context FROM m WHERE place <= 15 GROUP BY 1)
         SELECT metadata, coalesce(context, '未找到相关实体') AS context FROM chunks LEFT JOIN l USING (metadata)""",
+    "match_all_json": f"""WITH {_MATCHES}, l AS (SELECT metadata, '[' || string_agg('{{"entity_name":' || to_json(entity_name) || ',"summary":' || to_json(summary) || '}}', ',' ORDER BY place) || ']' AS entities FROM m GROUP BY 1)
+        SELECT metadata, coalesce(entities, '[]') AS entities FROM chunks LEFT JOIN l USING (metadata)""",
+    "triples_streamed_by_day": "SELECT strftime(loaded_at, '%Y-%m-%d') AS day, relation, count(*) AS triples FROM triples GROUP BY 1, 2",
     "llm_parse_entities": "SELECT entity_name, type[1] AS type, domain_relevance[1] AS domain_relevance, summary, CAST(entity_id AS VARCHAR) AS chunk_id FROM entities WHERE origin IS DISTINCT FROM 'model_b' AND entity_name IS NOT NULL AND type[1] IS NOT NULL AND domain_relevance[1] IS NOT NULL AND summary IS NOT NULL",
     "llm_rejects": "SELECT CAST(entity_id AS VARCHAR) AS chunk_id FROM entities WHERE origin = 'model_b'",
     "llm_parse_triples": "SELECT subject, relation, object, CAST(CAST(chunk_id AS BIGINT) AS VARCHAR) AS chunk_id FROM triples WHERE regexp_matches(chunk_id, '^[0-9]+$') AND subject IS NOT NULL AND relation IS NOT NULL AND object IS NOT NULL",

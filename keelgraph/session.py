@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,13 +38,21 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """The rows of df with their lineage cut, in the shared folder of spark.checkpoint.dir.
-
-    Only where the session names no folder (as in tests) a new local one is made.
-    """
-    sc = df.sparkSession.sparkContext
+def _checkpoint_dir(spark: SparkSession) -> str:
+    """The session's shared checkpoint folder; only where it names none (as in tests) a new local one."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="keelgraph-"))
+    return sc.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """The rows of df with their lineage cut, kept in the shared checkpoint folder."""
+    _checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    return f"{_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -54,3 +54,14 @@ def merge_knowledge(rows: DataFrame, checkpoint: str, target: str) -> StreamingQ
 def windowed_counts(rows: DataFrame, time: str = "loaded_at", late: str = "30 days", length: str = "1 day") -> DataFrame:
     """(window, relation, triples) per period of load, late rows within the watermark included."""
     return rows.withWatermark(time, late).groupBy(F.window(time, length), "relation").agg(F.count("*").alias("triples"))
+
+
+def counted(rows: DataFrame, checkpoint: str, target: str) -> StreamingQuery:
+    """An aggregated stream run over what is there; the target holds the whole result after every batch."""
+
+    def write(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(target)
+
+    query = rows.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
