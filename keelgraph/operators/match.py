@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from importlib.util import find_spec
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keelgraph.functions.text import NO_MATCH
 from keelgraph.session import spread
 
 #: Length of the character sequences that texts and names are joined on.
 GRAM = 3
+#: Most characters of all names together that are broadcast as an automaton (some 100 MB a Python worker).
+AUTOMATON = 1_000_000
 
 
 def dictionary(kb: DataFrame, order: str, payload: list[str]) -> DataFrame:
@@ -22,16 +29,57 @@ def _grams(text: str, n: int):
     return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
 
 
-def matches(texts: DataFrame, names: DataFrame, key: str, text: str, n: int = GRAM) -> DataFrame:
+def matches(texts: DataFrame, names: DataFrame, key: str, text: str, most_characters: int = AUTOMATON) -> DataFrame:
     """(key, entity_name, place): every name that occurs in a text as it is written, once, 1-based in order of the place
     where its first occurrence ends, the longest first.
 
-    A name is anchored at the one of its n-character sequences that the fewest names share; texts are joined with names on
-    such sequences, and each hit is verified. Shorter names are anchored at themselves, by their own length. So the work
-    follows the texts' size and the hits, not texts times names. Null texts and empty names match nothing; repeated texts
-    are matched each, by their key.
+    If the names have at most `most_characters` together they are broadcast and each text is read once by an automaton,
+    without a shuffle; beyond that texts and names are joined on character sequences. Both give the same rows. Null texts
+    and empty names match nothing; what several texts of one key match is united.
     """
     names = names.select("entity_name").where("entity_name <> ''").distinct()
+    size = names.agg(F.coalesce(F.sum(F.length("entity_name")), F.lit(0))).first()[0]
+    if size <= most_characters and find_spec("ahocorasick"):
+        return _by_automaton(texts, names, key, text)
+    return _by_sequences(texts, names, key, text)
+
+
+def _by_automaton(texts: DataFrame, names: DataFrame, key: str, text: str) -> DataFrame:
+    known = names.sparkSession.sparkContext.broadcast([r.entity_name for r in names.collect()])
+    schema = T.StructType([T.StructField(key, texts.schema[key].dataType), T.StructField("entity_name", T.StringType()), T.StructField("place", T.IntegerType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for name in known.value:
+            automaton.add_word(name, name)
+        automaton.make_automaton()
+        for batch in batches:
+            rows = []
+            for k, t in zip(batch[key], batch[text]):
+                ends: dict[str, int] = {}
+                for end, name in automaton.iter(t) if known.value else ():
+                    ends.setdefault(name, end)
+                rows += [(k, name, end) for name, end in ends.items()]
+            yield pd.DataFrame(rows, columns=[key, "entity_name", "place"])
+
+    source = spread(texts.select(key, text).where(F.col(text).isNotNull()))
+    return _placed(source.mapInPandas(run, schema).withColumnRenamed("place", "end"), key)
+
+
+def _placed(found: DataFrame, key: str) -> DataFrame:
+    """A name once per key, at its first end, and numbered."""
+    place = Window.partitionBy(key).orderBy("end", F.length("entity_name").desc())
+    once = found.groupBy(key, "entity_name").agg(F.min("end").alias("end"))
+    return once.select(key, "entity_name", F.row_number().over(place).alias("place"))
+
+
+def _by_sequences(texts: DataFrame, names: DataFrame, key: str, text: str, n: int = GRAM) -> DataFrame:
+    """A name is anchored at the one of its n-character sequences that the fewest names share; texts are joined with names on
+    such sequences, and each hit is verified. Shorter names are anchored at themselves, by their own length. So the work
+    follows the texts' size and the hits, not texts times names.
+    """
     long = names.where(F.length("entity_name") >= n).withColumn("gram", F.explode(_grams("entity_name", n)))
     shared = long.groupBy("gram").agg(F.count("*").alias("names"))
     anchors = long.join(shared, "gram").groupBy("entity_name").agg(F.min(F.struct("names", "gram")).alias("a")).select("entity_name", "a.gram")
@@ -43,8 +91,7 @@ def matches(texts: DataFrame, names: DataFrame, key: str, text: str, n: int = GR
     hits = grams.join(anchors, "gram").select(key, "entity_name").distinct()
     found = source.join(hits, key).where(F.contains(text, F.col("entity_name")))
     end = F.instr(F.col(text), F.col("entity_name")) + F.length("entity_name")
-    place = Window.partitionBy(key).orderBy(end, F.length("entity_name").desc())
-    return found.select(key, "entity_name", F.row_number().over(place).alias("place"))
+    return _placed(found.select(key, "entity_name", end.alias("end")), key)
 
 
 def context(texts: DataFrame, matched: DataFrame, names: DataFrame, key: str, most: int = 15) -> DataFrame:

@@ -41,6 +41,7 @@ def test_match_order(spark):
     texts = spark.createDataFrame([(1, "she sells"), (2, None), (3, "")], "k long, t string")
     names = spark.createDataFrame([(n,) for n in ("he", "she", "sell", "ells", "s", "", "she")], "entity_name string")
     assert [n for _, _, n in matched(match.matches(texts, names, "k", "t"))] == ["s", "she", "he", "sell", "ells"]
+    assert [n for _, _, n in matched(match.matches(texts, names, "k", "t", most_characters=0))] == ["s", "she", "he", "sell", "ells"]
     assert match.matches(texts, names.limit(0), "k", "t").count() == 0
     assert match.matches(texts.limit(0), names, "k", "t").count() == 0
 
@@ -59,7 +60,9 @@ def test_match_is_the_nested_loop(spark):
     word = lambda n: "".join(random.choice("ab船体😀") for _ in range(n))
     texts = spark.createDataFrame([(i, word(random.randint(0, 40))) for i in range(60)], "k long, t string")
     names = spark.createDataFrame([(word(random.randint(1, 6)),) for _ in range(80)], "entity_name string")
-    assert matched(match.matches(texts, names, "k", "t")) == by_nested_loop(texts, names)
+    expected = by_nested_loop(texts, names)
+    assert matched(match.matches(texts, names, "k", "t")) == expected
+    assert matched(match.matches(texts, names, "k", "t", most_characters=0)) == expected
 
 
 def test_context(spark):
