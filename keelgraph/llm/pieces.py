@@ -16,7 +16,9 @@ from keelgraph.session import spread
 LIMIT, OVERLAP = 512, 50
 
 #: What should stay in one piece: display and inline formulas, tables, images.
-_WHOLE = regex.compile(r"\$\$.*?\$\$|\$[^$\n]+\$|<table\b.*?</table>|!\[[^\]\n]*\]\([^)\n]*\)", regex.DOTALL | regex.IGNORECASE)
+_WHOLE = regex.compile(r"\$\$.*?\$\$|\$[^$\n]+\$|<table\b.*?</table>|!\[[^\]\n]{0,200}\]\([^)\n]{0,500}\)", regex.DOTALL | regex.IGNORECASE)
+_NO_TABLE = regex.compile(r"\$\$.*?\$\$|\$[^$\n]+\$|!\[[^\]\n]{0,200}\]\([^)\n]{0,500}\)", regex.DOTALL)
+_TABLE_END = regex.compile("</table>", regex.IGNORECASE)
 #: Boundaries, each after the match; the group that matched gives the strength.
 _BOUNDARY = regex.compile(
     r"(?P<s7>\n\s*(?=#{1,6}\s))"  # before a heading
@@ -29,9 +31,21 @@ _BOUNDARY = regex.compile(
 )
 
 
+def _whole(text: str) -> list[tuple[int, int]]:
+    """The spans that should stay in one piece. Past the last end of a table none is sought, however many are left open."""
+    spans, start, last = [], 0, -1
+    for m in _TABLE_END.finditer(text):
+        last = m.end()
+    if last > 0:
+        for m in _WHOLE.finditer(text, 0, last):
+            spans.append(m.span())
+        start = spans[-1][1] if spans else 0
+    return spans + [m.span() for m in _NO_TABLE.finditer(text, start)]
+
+
 def _boundaries(text: str) -> tuple[list[int], list[int]]:
     """Positions of the boundaries and their strengths, in order; none inside what should stay whole."""
-    spans = [m.span() for m in _WHOLE.finditer(text)]
+    spans = _whole(text)
     starts = [a for a, _ in spans]
     found = {k: 2 for span in spans for k in span if 0 < k < len(text)}
     for m in _BOUNDARY.finditer(text):

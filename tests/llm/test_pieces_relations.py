@@ -24,6 +24,12 @@ def test_natural_boundaries():
     assert all(b - a <= 462 for a, _, b in cuts("z" * 100_000))
 
 
+def test_long_texts_with_spans_left_open():
+    for text in ("<table " * 20_000, "![ " * 20_000, "$$ " * 20_001, "$ " * 20_001, "<table>x</table>" * 5_000):
+        pieces = cuts(text)
+        assert "".join(text[a:b] for a, _, b in pieces) == text and all(b - a + r <= 512 for a, r, b in pieces)
+
+
 def test_split_table(spark):
     rows = [(1, "s" * 513, "x"), (2, None, "x"), (3, "", "x"), (4, "k" * 512, "x"), (1, "s" * 513, "x")]
     df = spark.createDataFrame(rows, "metadata long, chunk_content string, pieces string")
