@@ -47,7 +47,9 @@ def protect(text: str, formulas: bool = True, tables: bool = True) -> tuple[str,
         text = regex.sub(DISPLAY, hide("FORMULA"), text)
         text = regex.sub(INLINE, hide("FORMULA"), text)
     if tables:
-        text = regex.sub(TABLE, hide("TABLE"), text)
+        # past the last end of a table none can be, however many are left open
+        end = max((m.end() for m in regex.finditer("(?i)</table>", text)), default=0)
+        text = regex.sub(TABLE, hide("TABLE"), text[:end]) + text[end:]
     return text, spans
 
 

@@ -73,6 +73,8 @@ def test_chunks_keep_the_text(t, size, overlap):
 
 
 def test_chunking(spark):
+    for long in ("<table " * 20_000, "$ " * 20_001, "</table>" * 5_000):
+        assert chunking.restore(*chunking.protect(long)) == long
     assert chunking.restore(*chunking.protect("x <table><td>$a$</td></table> y $b$")) == "x <table><td>$a$</td></table> y $b$"
     assert chunking.split("a" * 30 + "\n\n" + "b" * 30, 40, 5) == ["a" * 30, "b" * 30]
     df = spark.createDataFrame([(2, "第一段\n\n" + "句" * 600), (1, "$" + "x" * 600 + "$"), (3, None), (4, " \n")], "k long, t string")
