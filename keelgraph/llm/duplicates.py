@@ -12,6 +12,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -161,11 +162,31 @@ def _word(w: str) -> str:
     return "".join(_WORDS.findall(w))
 
 
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _rests(keys: pd.Series) -> pd.Series:
+    """Hashes of a key and of what is left of it without one character that is no number or code.
+
+    The hash is the sum of each character times the base to the power of its place, so that all are had from one running sum.
+    """
+    out = []
+    for key in keys:
+        codes = np.frombuffer(key.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+        powers = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(len(codes) - 1, _BASE, np.uint64))]) if len(codes) else codes
+        sums = np.cumsum(codes * powers)
+        total = sums[-1] if len(sums) else np.uint64(0)
+        without = (sums - codes * powers) + (total - sums) * _INVERSE
+        free = np.array([not c.isupper() and _kind(c) != "number" for c in key], bool)
+        out.append(np.unique(np.append(without[free], total)).view(np.int64))
+    return pd.Series(out, dtype=object)
+
+
 def _pairs(keys: DataFrame) -> DataFrame:
     """(a, b), a < b: keys that are equal after at most one deletion each, of a character that is no number or code."""
-    at = F.filter(F.sequence(F.lit(1), F.length("key")), lambda i: F.substr("key", i, F.lit(1)).rlike(r"^[^\p{N}\p{Lu}]$"))
-    cut = F.transform(at, lambda i: F.xxhash64(F.concat(F.substr("key", F.lit(1), i - 1), F.substr("key", i + 1))))
-    near = keys.select("key", F.explode(F.array_distinct(F.concat(F.array(F.xxhash64("key")), cut))).alias("rest"))
+    near = keys.select("key", F.explode(_rests("key")).alias("rest"))
     shared = near.groupBy("rest").agg(F.count("*").alias("n")).where("n > 1").select("rest")
     near = near.join(shared, "rest", "left_semi")
     other = near.select("rest", F.col("key").alias("b"))

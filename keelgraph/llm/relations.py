@@ -62,7 +62,7 @@ def _script(plain: Column, letters: str) -> Column:
 def _tokens(compact: Column) -> Column:
     """The distinct pairs of neighbouring characters, the ends marked."""
     marked = F.concat(F.lit("^"), compact, F.lit("$"))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(compact) + 1), lambda i: F.substr(marked, i, F.lit(2))))
+    return F.array_distinct(F.regexp_extract_all(marked, F.lit("(?s)(?=(..))"), F.lit(1)))
 
 
 def _prefixes(sets: DataFrame, rarity: DataFrame, key: list[str]) -> DataFrame:

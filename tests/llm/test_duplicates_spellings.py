@@ -40,6 +40,8 @@ def test_groups(spark):
 
 def test_empty_and_hot(spark):
     assert group_records(records(spark, []).limit(0), "entity_id", "entity_name").count() == 0
+    long = group_records(records(spark, ["长" * 50_000 + "名", "长" * 50_000 + "名甲", "x" * 100_000, "舵"]), "entity_id", "entity_name")
+    assert long.count() == 4
     hot = group_records(records(spark, ["船体"] * 300 + ["舵"]), "entity_id", "entity_name")
     assert duplicate_pairs(hot, "entity_id").count() == 299
 
