@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -166,27 +167,37 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _rests(keys: pd.Series) -> pd.Series:
-    """Hashes of a key and of what is left of it without one character that is no number or code.
+def _rests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, rest): hashes of a key and of what is left of it without one character that is no number or code.
 
-    The hash is the sum of each character times the base to the power of its place, so that all are had from one running sum.
+    The hash is the sum of each character times the base to the power of its place, so that all are had from one running sum
+    over a batch. Doubled characters leave the same rest and are told once.
     """
-    out = []
-    for key in keys:
-        codes = np.frombuffer(key.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
-        powers = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(len(codes) - 1, _BASE, np.uint64))]) if len(codes) else codes
-        sums = np.cumsum(codes * powers)
-        total = sums[-1] if len(sums) else np.uint64(0)
-        without = (sums - codes * powers) + (total - sums) * _INVERSE
-        free = np.array([not c.isupper() and _kind(c) != "number" for c in key], bool)
-        out.append(np.unique(np.append(without[free], total)).view(np.int64))
-    return pd.Series(out, dtype=object)
+    for batch in batches:
+        keys = batch.column(0)
+        texts = keys.to_pylist()
+        if not texts:
+            continue
+        length = np.array([len(t) for t in texts], np.int64)
+        owner, start = np.repeat(np.arange(len(texts)), length), np.cumsum(length) - length
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+        powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(0, int(length.max()) - 1), _BASE, np.uint64)]))
+        term = codes * powers[np.arange(len(codes)) - start[owner]]
+        running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(term)])
+        total = running[start + length] - running[start]
+        sums = running[1:] - running[start][owner]
+        without = (sums - term) + (total[owner] - sums) * _INVERSE
+        different, place = np.unique(codes, return_inverse=True)
+        free = np.array([not chr(c).isupper() and _kind(chr(c)) != "number" for c in different.tolist()], bool)[place]
+        free[1:] &= ~((without[1:] == without[:-1]) & (owner[1:] == owner[:-1]))
+        index = np.concatenate([owner[free], np.arange(len(texts))])
+        rests = np.concatenate([without[free], total]).view(np.int64)
+        yield pa.RecordBatch.from_arrays([keys.take(pa.array(index)), pa.array(rests)], ["key", "rest"])
 
 
 def _pairs(keys: DataFrame) -> DataFrame:
     """(a, b), a < b: keys that are equal after at most one deletion each, of a character that is no number or code."""
-    near = keys.select("key", F.explode(_rests("key")).alias("rest"))
+    near = keys.select("key").mapInArrow(_rests, "key string, rest long")
     shared = near.groupBy("rest").agg(F.count("*").alias("n")).where("n > 1").select("rest")
     near = near.join(shared, "rest", "left_semi")
     other = near.select("rest", F.col("key").alias("b"))
