@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelgraph.functions.text import joined
@@ -23,15 +23,23 @@ def _flat(records: DataFrame) -> DataFrame:
     return records.select("entity_name", *[joined(F.col(c)).alias(c) if c != "summary" else F.col(c) for c in FIELDS])
 
 
+def _classed() -> Column:
+    """A record's types with its relevances, by place; the last of the shorter list stands beside what is left of the longer."""
+    lists = [F.array_compact(c) for c in ("type", "domain_relevance")]
+    places = F.sequence(F.lit(0), F.greatest(*[F.coalesce(F.size(c), F.lit(0)) for c in lists], F.lit(1)) - 1)
+    value = lambda c, i: F.get(c, F.least(i, F.size(c) - 1))
+    return F.transform(places, lambda i: F.named_struct(F.lit("class_place"), i, F.lit("type"), value(lists[0], i), F.lit("domain_relevance"), value(lists[1], i)))
+
+
 def _mentions(spark: SparkSession, folder: str) -> DataFrame:
-    """A mention per record: its first type, relevance and chunk."""
-    first = lambda c: F.get(c, F.lit(0)).alias(c if c != "chunk_ids" else "chunk_id")
-    return entities(spark, folder).select("entity_name", first("type"), first("domain_relevance"), "summary", first("chunk_ids"), "extracted_at", "entity_id")
+    """A mention per record, chunk of it and type with relevance of it, with their places in the record's lists."""
+    rows = entities(spark, folder).select("entity_name", "summary", "extracted_at", "entity_id", _classed().alias("classes"), F.posexplode("chunk_ids").alias("chunk_place", "chunk_id"))
+    return rows.select("*", F.inline("classes")).drop("classes")
 
 
 def entity_kb_build(spark: SparkSession, folder: str) -> DataFrame:
     mentions = _mentions(spark, folder).where("chunk_id IS NOT NULL").withColumn("range", kb.range_of(F.col("chunk_id"), 20))
-    per_range = kb.build(mentions, ["extracted_at", "entity_id"], ["range"])
+    per_range = kb.build(mentions, ["extracted_at", "entity_id", "chunk_place", "class_place"], ["range"])
     return _flat(kb.merge(per_range, ["range"]))
 
 
@@ -72,9 +80,12 @@ def match_all_json(spark: SparkSession, folder: str) -> DataFrame:
 
 def _entity_outputs(spark: SparkSession, folder: str) -> DataFrame:
     """What an extractor would have said of each record; those of model_b go on after the JSON."""
-    item = F.struct("entity_name", F.col("type"), F.col("domain_relevance"), "summary", F.lit("0").alias("chunk_id"))
-    said = F.concat(F.lit("<think>a list</think>\n```json\n"), F.to_json(F.array(item)), F.when(F.col("origin") == "model_b", "\nand so on").otherwise(""), F.lit("\n```"))
-    return _mentions(spark, folder).drop("chunk_id").join(entities(spark, folder).select("entity_id", "origin"), "entity_id").select(F.col("entity_id").alias("chunk_id"), said.alias("raw"))
+    name, summary = F.col("entity_name"), F.col("summary")
+    fields = lambda x: {"entity_name": name, "type": x["type"], "domain_relevance": x["domain_relevance"], "summary": summary, "chunk_id": F.lit("0")}
+    item = lambda x: F.named_struct(*[c for k, v in fields(x).items() for c in (F.lit(k), v)])
+    items = F.to_json(F.transform(_classed(), item))
+    said = F.concat(F.lit("<think>a list</think>\n```json\n"), items, F.when(F.col("origin") == "model_b", "\nand so on").otherwise(""), F.lit("\n```"))
+    return entities(spark, folder).select(F.col("entity_id").alias("chunk_id"), said.alias("raw"))
 
 
 def llm_parse_entities(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,7 +110,7 @@ def llm_parse_triples(spark: SparkSession, folder: str) -> DataFrame:
 def _said_of_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """(chunk_id, items): each chunk's mentions as an extractor would list them."""
     item = F.struct("entity_name", "type", "domain_relevance", "summary", F.lit("?").alias("chunk_id"))
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("entity_id", item.alias("item")))), lambda x: x["item"])
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("entity_id", "class_place", item.alias("item")))), lambda x: x["item"])
     return _mentions(spark, folder).where("chunk_id IS NOT NULL").groupBy("chunk_id").agg(listed.alias("items"))
 
 
