@@ -77,6 +77,8 @@ def cuts(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[in
         near = range(bisect_left(at, max(a + 1, middle - reach)), bisect_right(at, min(b - 1, middle + reach)))
         if near:
             k = at[max(near, key=lambda i: (strength[i], -abs(at[i] - middle)))]
+        elif beyond := [i for i in (bisect_left(at, middle) - 1, bisect_left(at, middle)) if 0 <= i < len(at) and a < at[i] < b]:
+            k = at[min(beyond, key=lambda i: (abs(at[i] - middle), -strength[i]))]
         else:
             k = next((k for k in range(middle, min(middle + 16, b)) if not _joined(text, k)), middle)
         stack += [(k, b), (a, k)]
@@ -95,8 +97,8 @@ def cuts(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[in
 def split_oversized(df: DataFrame, key: str, text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """(key, piece, pieces, start, repeated, text): the pieces of every text, at most `limit` code points each, in order.
 
-    A text within the limit is one piece. A longer one is cut at the strongest boundary near its middle, and each half
-    again while it exceeds limit - overlap; then each piece but the first is given up to `overlap` characters of the end
+    A text within the limit is one piece. A longer one is cut at the strongest boundary near its middle, or else the
+    nearest anywhere in it, at a bare character only where it has none, and each half again while it exceeds limit - overlap; then each piece but the first is given up to `overlap` characters of the end
     of the one before it, from a natural boundary if one lies there. Without the repeated characters the pieces are the
     text. A null text gives no row, an empty one an empty piece; repeated rows are split each. Other columns aren't read.
     """
