@@ -239,16 +239,48 @@ def _leading(keys: DataFrame) -> DataFrame:
     known = known.withColumn("odds", F.when(F.col("kind") == "double", F.greatest("odds", F.lit(float(RARER)))).otherwise(F.col("odds")))
     believed = F.expr(f"(odds >= {RARER} AND (known OR NOT short OR kind IN ('space', 'swap', 'double', 'letter'))) OR (known AND odds >= 1)")
     slips = known.where(believed)
-    best = slips.groupBy("key").agg(F.max_by("parent", F.struct("odds", "parent")).alias("root"))
-    best = durable(best)
-    # A slip may lead to another slip; a few steps reach the end, and a circle can't be, since odds rise along the way.
-    for _ in range(4):
-        further = best.select(F.col("key").alias("root"), F.col("root").alias("next"))
-        stepped = best.join(further, "root", "left").select("key", F.coalesce(F.when(F.col("next") != F.col("key"), F.col("next")), "root").alias("root"), F.col("next").isNotNull().alias("moved"))
+    best = durable(slips.groupBy("key").agg(F.max_by("parent", F.struct("odds", "parent")).alias("root")))
+    kinds = [r.kind for r in mistaken.select("kind").collect()]  # bounded by the characters mistaken for each other
+    restored = keys.join(best, "key", "left_anti").repartition(parts).mapInPandas(lambda batches: _restored(batches, kinds), "key string, parent string")
+    shared = restored.groupBy("parent").agg(F.count("*").alias("n")).where("n > 1").join(keys.withColumnRenamed("key", "parent"), "parent", "left_anti")
+    pairs = restored.join(shared.select("parent"), "parent", "left_semi").select(F.col("key").alias("a"), F.col("parent").alias("b"))
+    told = pairs.mapInPandas(_told, _TOLD).join(pairs.select(F.col("a").alias("key"), F.col("b").alias("parent")), ["key", "parent"], "left_semi")
+    told = told.join(of("made", "n_made"), "made", "left").join(of("spoilt", "n_spoilt"), "spoilt", "left")
+    judged = told.groupBy("key", "parent", "kind", "way").agg(F.min(odds).alias("odds"))
+    believed = durable(judged.where((F.col("kind") == "double") | (F.col("kind").isin(kinds) & (F.col("odds") >= 1))).select("key", "parent").distinct())
+    size = believed.groupBy("parent").agg(F.count("*").alias("n"))
+    chosen = believed.join(size.where("n > 1"), "parent").groupBy("key").agg(F.max_by("parent", F.struct("n", "parent")).alias("root"))
+    return _roots(best.unionByName(chosen))
+
+
+def _restored(batches: Iterator[pd.DataFrame], kinds: list[str]) -> Iterator[pd.DataFrame]:
+    """(key, parent): every key without one of its doubled characters, and with one known mistaken character put right."""
+    meant: dict[str, list[str]] = {}
+    for right, wrong in kinds:
+        meant.setdefault(wrong, []).append(right)
+    for batch in batches:
+        rows = set()
+        for key in batch["key"]:
+            for i, c in enumerate(key):
+                if i and c == key[i - 1] and c != " " and not c.isupper() and _kind(c) != "number":
+                    rows.add((key, key[:i] + key[i + 1 :]))
+                rows.update((key, key[:i] + right + key[i + 1 :]) for right in meant.get(c, ()))
+        yield pd.DataFrame(sorted(rows), columns=["key", "parent"])
+
+
+def _roots(best: DataFrame) -> DataFrame:
+    """(key, root): every key with the end of its chain of roots; a circle's root is its smallest key."""
+    back = best.where("root > key").join(best.select(F.col("key").alias("root"), F.col("root").alias("key")), ["key", "root"], "left_semi")
+    best = durable(best.join(back.select("key"), "key", "left_anti").withColumn("low", F.least("key", "root")))
+    # Steps double in length, so that after these any key that still moves has come into a circle, and round it.
+    for _ in range(best.count().bit_length() + 1):
+        further = best.select(F.col("key").alias("root"), F.col("root").alias("next"), F.col("low").alias("low_next"))
         if best.join(further, "root", "left_semi").isEmpty():
             break
-        best = durable(stepped.select("key", "root"))
-    return best
+        stepped = best.join(further, "root", "left")
+        best = durable(stepped.select("key", F.coalesce("next", "root").alias("root"), F.least("low", F.coalesce("low_next", "low")).alias("low")))
+    ends = best.select(F.col("key").alias("root"), F.col("low").alias("end"))
+    return best.join(ends, "root", "left").select("key", F.coalesce("end", "root").alias("root"))
 
 
 def group_records(records: DataFrame, key: str, name: str) -> DataFrame:
@@ -257,7 +289,8 @@ def group_records(records: DataFrame, key: str, name: str) -> DataFrame:
     `slipped` tells whether the record's name is a slip of the thing's.
 
     A record with a null or empty name is a thing of its own (root null). Repeated names are compared once, so a name that
-    holds a third of the rows costs no more than another; names are compared only with those one deletion away.
+    holds a third of the rows costs no more than another; names are compared only with those one deletion away, and with those
+    that become the same, unstored name when a doubled or known mistaken character is put right in each.
     """
     keyed = durable(spread(records.select(key, name)).select(key, name_keys(F.when(F.col(name) != "", F.col(name))).alias("name_key")))
     leading = _leading(keyed.select(F.col("name_key").alias("key")).where("key <> ''").distinct())
