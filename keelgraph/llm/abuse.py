@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelgraph.functions.lookalike import fold
+from keelgraph.llm.forms import fold
 from keelgraph.session import spread
 
 #: Buckets of the n-gram weights, and of the bigram and trigram counts of the language model.

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelgraph.functions.lookalike import fold, look_key
+from keelgraph.functions.lookalike import look_key
+from keelgraph.llm.forms import fold
 from keelgraph.session import durable, spread
 
 # Units and letters written in several ways.

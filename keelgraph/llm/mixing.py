@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelgraph.llm.encoding import token_length
-from keelgraph.operators.ordinals import seeded_rank
 from keelgraph.session import durable, spread
 
 #: The part of a budget, in tokens, that the subset-sum search decides exactly.
@@ -40,6 +39,8 @@ def fit_budget(lengths: np.ndarray, supply: np.ndarray, budget: int, seed: int =
         more = min(int(supply[i] - used[i]), (rest - window) // int(lengths[i]) + 1, rest // int(lengths[i]))
         used[i] += more
         rest -= more * int(lengths[i])
+    if rest >= window:
+        return used  # no length that still has documents fits in what is left
     reached, item = np.zeros(rest + 1, bool), np.full(rest + 1, -1, np.int64)
     reached[0] = True
     items: list[tuple[int, int]] = []
@@ -65,6 +66,26 @@ def fit_budget(lengths: np.ndarray, supply: np.ndarray, budget: int, seed: int =
     return used
 
 
+def seeded_rank(df: DataFrame, group: list[str], unique: str, seed: int, rank: str = "rank") -> DataFrame:
+    """df with the 0-based rank of each row within its group, in an order drawn from the seed.
+
+    The hashed order is cut into as many parts as shuffles have partitions, so that a group holding a third of all rows is
+    ranked by all tasks. `unique` tells the rows of a group apart; rows equal in it too are ranked in any order.
+    """
+    bits = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+    df = df.withColumn("_hash", F.xxhash64(F.lit(seed), F.col(unique)))
+    df = df.withColumn("_part", F.shiftrightunsigned("_hash", 64 - bits).cast("int"))
+    sizes = df.groupBy(*group, "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(c).alias(f"_g_{c}") for c in group], F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    own = F.row_number().over(Window.partitionBy(*group, "_part").orderBy("_hash", unique)) - 1
+    same = F.col("_part") == F.col("_p")
+    for c in group:
+        same &= F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    numbered = df.withColumn("_own", own).join(offsets, same)
+    return numbered.withColumn(rank, (F.col("_own") + F.col("_offset")).cast("long")).drop("_hash", "_part", "_own", "_offset", "_p", *[f"_g_{c}" for c in group])
+
+
 def sized(documents: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, source, tokens) of the documents with any token, kept so that no text is encoded twice."""
     # Filtered only after it is kept: else the filter would have every text encoded a second time.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelgraph.functions.lookalike import fold_key
+from keelgraph.llm.forms import fold_key
 
 UNMATCHED = "unmatched"
 

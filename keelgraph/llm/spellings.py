@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelgraph.functions.lookalike import fold_key, look_key
+from keelgraph.functions.lookalike import look_key
+from keelgraph.llm.forms import fold_key
 
 
 def consistent_forms(values: DataFrame, column: str) -> DataFrame:
