@@ -2,7 +2,7 @@
 
 `look` keeps what a reader can see (letter case, accents, raised figures, visible spaces) and levels the rest: character
 width, invisible characters, kinds of space, composed or combining accents, radicals and compatibility ideographs, and
-letters of other scripts that are drawn alike. `fold` is coarser: it also levels case and raised figures.
+letters of other scripts that are drawn alike.
 """
 
 from __future__ import annotations
@@ -72,23 +72,7 @@ def look(s: str) -> str:
     return unicodedata.normalize("NFC", s.translate(_TABLE)).strip()
 
 
-def fold(s: str) -> str:
-    """Composed compatibility form, full case folding, one kind of space and nothing invisible."""
-    folded = unicodedata.normalize("NFKC", look(s)).casefold()
-    return " ".join(unicodedata.normalize("NFKC", folded).split())
-
-
-def _each(f, values: pd.Series) -> pd.Series:
-    """f on every distinct value of a batch once; null stays null."""
-    return values.map({v: f(v) for v in values.dropna().unique()}) if len(values) else values
-
-
 @F.pandas_udf(T.StringType())
 def look_key(values: pd.Series) -> pd.Series:
-    """`look` of each string; null gives null, a string of nothing visible the empty string."""
-    return _each(look, values).astype(object)
-
-
-@F.pandas_udf(T.StringType())
-def fold_key(values: pd.Series) -> pd.Series:
-    return _each(fold, values).astype(object)
+    """`look` of each string, of every distinct value of a batch once; null gives null, a string of nothing visible the empty one."""
+    return values.map({v: look(v) for v in values.dropna().unique()}).astype(object)

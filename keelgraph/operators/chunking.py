@@ -15,9 +15,9 @@ from keelgraph.session import spread
 
 SIZE, OVERLAP = 512, 50
 # Where to split, strongest first.
-SEPARATORS = ["\n\n", "\n# ", "\n## ", "\n### ", "\n####", "\n", "。！？；", " ", ""]
+SEPARATORS = ["\n\n", "\n# ", "\n## ", "\n### ", "\n####", "\n", "。", "！", "？", "；", " ", ""]
 
-#: Formulas and tables, in the order in which they are protected.
+# Formulas and tables, in the order in which they are protected.
 DISPLAY, INLINE, TABLE = r"(?s)\$\$(.*?)\$\$", r"\$([^\n]*?)\$", r"(?is)<table\b[^>]*>.*?</table>"
 
 
@@ -32,25 +32,23 @@ def protected_counts(text: Column) -> Column:
     )
 
 
-def protect(text: str, formulas: bool = True, tables: bool = True) -> tuple[str, list[tuple[str, str]]]:
-    """The text with placeholders for formulas and tables, and (placeholder, span) in order."""
-    spans: list[tuple[str, str]] = []
-
-    def hide(kind: str):
-        def replace(m: regex.Match) -> str:
-            spans.append((f"__{kind}_{len(spans)}__", m.group()))
-            return spans[-1][0]
+def _found(kind: str, pattern: str, text: str) -> list[tuple[int, int]]:
+    # past the last end of a table none can be, however many are left open
+    end = max((m.end() for m in regex.finditer("(?i)</table>", text)), default=0) if kind == "TABLE" else len(text)
+    return [m.span() for m in regex.finditer(pattern, text, endpos=end)]
 
-        return replace
 
-    if formulas:
-        text = regex.sub(DISPLAY, hide("FORMULA"), text)
-        text = regex.sub(INLINE, hide("FORMULA"), text)
-    if tables:
-        # past the last end of a table none can be, however many are left open
-        end = max((m.end() for m in regex.finditer("(?i)</table>", text)), default=0)
-        text = regex.sub(TABLE, hide("TABLE"), text[:end]) + text[end:]
-    return text, spans
+def protect(text: str, formulas: bool = True, tables: bool = True) -> tuple[str, list[tuple[str, str]]]:
+    """The text with placeholders for formulas and tables, and (placeholder, span) in order."""
+    held: list[tuple[str, str]] = []
+    for kind, pattern in [("FORMULA", DISPLAY), ("FORMULA", INLINE)] * formulas + [("TABLE", TABLE)] * tables:
+        spliced, last = [], 0
+        for start, end in _found(kind, pattern, text):
+            held.append((f"__{kind}_{len(held)}__", text[start:end]))
+            spliced += [text[last:start], held[-1][0]]
+            last = end
+        text = "".join(spliced) + text[last:]
+    return text, held
 
 
 def restore(text: str, spans: list[tuple[str, str]]) -> str:
@@ -102,20 +100,23 @@ def split_protected(text: str, size: int = SIZE, overlap: int = OVERLAP, formula
     return [restore(c, spans) for c in split(hidden, size, overlap)]
 
 
-def chunk_texts(texts: DataFrame, key: str, text: str, size: int = SIZE, overlap: int = OVERLAP, formulas: bool = True, tables: bool = True) -> DataFrame:
-    """(key, pos, chunk_content): the chunks of every text, in order.
+def chunk_texts(texts: DataFrame, key: str, text: str, size: int = SIZE, overlap: int = OVERLAP, formulas: bool = True, tables: bool = True, keep: str | None = None) -> DataFrame:
+    """(key, pos, chunk_content): the chunks of every text, in order, with the text's own column `keep`, such as its source.
 
     Sizes are measured with placeholders for formulas and tables, so a chunk that holds one may be longer. Null, empty and
     blank texts give no chunk.
     """
-    schema = T.StructType([T.StructField(key, texts.schema[key].dataType), T.StructField("pos", T.IntegerType()), T.StructField("chunk_content", T.StringType())])
+    own = [key, *([keep] if keep else [])]
+    kept = [T.StructField(c, texts.schema[c].dataType) for c in own]
+    schema = T.StructType([*kept, T.StructField("pos", T.IntegerType()), T.StructField("chunk_content", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(k, i, c) for k, t in zip(batch[key], batch[text]) for i, c in enumerate(split_protected(t, size, overlap, formulas, tables))]
-            yield pd.DataFrame(rows, columns=[key, "pos", "chunk_content"])
+            values = zip(*[batch[c] for c in own])
+            rows = [(*v, i, c) for v, t in zip(values, batch[text]) for i, c in enumerate(split_protected(t, size, overlap, formulas, tables))]
+            yield pd.DataFrame(rows, columns=schema.names)
 
-    return spread(texts.select(key, text).where(F.col(text).isNotNull())).mapInPandas(run, schema)
+    return spread(texts.select(*own, text).where(F.col(text).isNotNull())).mapInPandas(run, schema)
 
 
 def number_chunks(chunks: DataFrame, order: list[str], source: str) -> DataFrame:

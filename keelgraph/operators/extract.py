@@ -6,12 +6,14 @@ import os
 import urllib.request
 from abc import ABC, abstractmethod
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelgraph.functions.text import strip
+from keelgraph.operators.ordinals import ordinal
 
 ENTITY_PROMPT = """Read the text and list the entities of shipbuilding in it.
 Answer with a JSON list of objects with entity_name, type, domain_relevance, summary and chunk_id.
@@ -46,6 +48,12 @@ def extractable(chunks: DataFrame) -> DataFrame:
     return chunks.select(F.col("metadata").alias("chunk_id"), F.coalesce("source", F.lit("")).alias("source"), text.alias("text")).where("text <> ''")
 
 
+def with_ordinals(chunks: DataFrame, order: list[str]) -> DataFrame:
+    """chunks with a null ordinal (metadata) replaced by the row's place in the whole table by `order`."""
+    placed = ordinal(chunks, order, "_place")
+    return placed.withColumn("metadata", F.coalesce("metadata", "_place")).drop("_place")
+
+
 def chunk_range(chunks: DataFrame, start: int, end: int | None = None) -> DataFrame:
     """The chunks whose ordinal is in [start, end); pushed down to the scan."""
     chunks = chunks.where(F.col("metadata") >= start)
@@ -53,7 +61,7 @@ def chunk_range(chunks: DataFrame, start: int, end: int | None = None) -> DataFr
 
 
 class Extractor(ABC):
-    """Turns prompts (chunk_id, prompt) into raw outputs (chunk_id, raw, error)."""
+    """Turns prompts (chunk_id, prompt) into raw outputs (chunk_id, prompt, raw, error), the prompt kept as a record of what was asked."""
 
     @abstractmethod
     def extract(self, prompts: DataFrame) -> DataFrame: ...
@@ -66,18 +74,36 @@ class Replay(Extractor):
         self.stored = stored
 
     def extract(self, prompts: DataFrame) -> DataFrame:
-        found = prompts.select("chunk_id").join(self.stored.select("chunk_id", "raw"), "chunk_id", "left")
-        return found.select("chunk_id", "raw", F.when(F.col("raw").isNull(), "no stored output").alias("error"))
+        found = prompts.select("chunk_id", "prompt").join(self.stored.select("chunk_id", "raw"), "chunk_id", "left")
+        return found.select("chunk_id", "prompt", "raw", F.when(F.col("raw").isNull(), "no stored output").alias("error"))
+
+
+class Rule(Extractor):
+    """A stand-in for a model, for demonstrations and tests: reads the known entities out of a relation prompt and relates
+    each to the next one in the text. A prompt without a list of known entities gives an error.
+    """
+
+    RELATION = "co_occurs_with"
+
+    def extract(self, prompts: DataFrame) -> DataFrame:
+        listed = F.from_json(F.regexp_extract("prompt", r"(?s)\nKnown entities:\n(\[.*?\])\nChunk: ", 1), "array<struct<entity_name:string>>")
+        asked = prompts.select("chunk_id", "prompt", listed.alias("known"))
+        pair = lambda x, i: F.struct(x["entity_name"].alias("subject"), F.lit(self.RELATION).alias("relation"), F.get("known", i + 1)["entity_name"].alias("object"))
+        said = F.to_json(F.struct(F.filter(F.transform("known", pair), lambda t: t["object"].isNotNull()).alias("triples")))
+        return asked.select("chunk_id", "prompt", F.when(F.col("known").isNotNull(), said).alias("raw"), F.when(F.col("known").isNull(), "no known entities").alias("error"))
 
 
 class Http(Extractor):
-    """A service of the user's own at KEELGRAPH_ENDPOINT that answers a posted prompt with text; errors stay with the chunk."""
+    """A service of the user's own at KEELGRAPH_ENDPOINT that answers a posted prompt with text; errors stay with the chunk.
+
+    A task has at most `at_once` requests under way.
+    """
 
-    def __init__(self, endpoint: str | None = None, timeout: float = 180.0, retries: int = 3) -> None:
-        self.endpoint, self.timeout, self.retries = endpoint or os.environ.get("KEELGRAPH_ENDPOINT", ""), timeout, retries
+    def __init__(self, endpoint: str | None = None, timeout: float = 180.0, retries: int = 3, at_once: int = 8) -> None:
+        self.endpoint, self.timeout, self.retries, self.at_once = endpoint or os.environ.get("KEELGRAPH_ENDPOINT", ""), timeout, retries, at_once
 
     def extract(self, prompts: DataFrame) -> DataFrame:
-        endpoint, timeout, retries = self.endpoint, self.timeout, self.retries
+        endpoint, timeout, retries, at_once = self.endpoint, self.timeout, self.retries, self.at_once
 
         def ask(prompt: str) -> tuple[str | None, str | None]:
             error = "no endpoint"
@@ -90,11 +116,12 @@ class Http(Extractor):
             return None, error
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                answers = [ask(p) for p in batch["prompt"]]
-                yield pd.DataFrame({"chunk_id": batch["chunk_id"], "raw": [a for a, _ in answers], "error": [e for _, e in answers]})
+            with ThreadPoolExecutor(at_once) as pool:
+                for batch in batches:
+                    answers = list(pool.map(ask, batch["prompt"]))
+                    yield batch.assign(raw=[a for a, _ in answers], error=[e for _, e in answers])
 
-        return prompts.select("chunk_id", "prompt").mapInPandas(run, "chunk_id long, raw string, error string")
+        return prompts.select("chunk_id", "prompt").mapInPandas(run, "chunk_id long, prompt string, raw string, error string")
 
 
 def batches(total: DataFrame, size: int, start: int = 0) -> DataFrame:

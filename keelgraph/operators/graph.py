@@ -63,8 +63,8 @@ def clean_labels(node_rows: DataFrame) -> DataFrame:
 
 
 def label_distribution(node_rows: DataFrame) -> DataFrame:
-    """(label, nodes)."""
-    return node_rows.groupBy(F.col("`:LABEL`").alias("label")).agg(F.count("*").alias("nodes"))
+    """(label, nodes), the commonest first."""
+    return node_rows.groupBy(F.col("`:LABEL`").alias("label")).agg(F.count("*").alias("nodes")).orderBy(F.desc("nodes"), "label")
 
 
 def properties(node_rows: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from keelgraph.functions.text import SPACE, strip
 
+# Numbered headings by level, chapters that keep their level, images named by a hash.
 _NUMBERED = {2: r"\p{Nd}+\.\p{Nd}+", 3: r"\p{Nd}+\.\p{Nd}+\.\p{Nd}+"}
 _CHAPTER = r"第[零一二三四五六七八九十百千\p{Nd}]+章"
 _IMAGE = r"!\[\]\(images/([a-f0-9]+\.(?:jpg|png|jpeg|gif))\)"

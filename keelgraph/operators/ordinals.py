@@ -1,45 +1,27 @@
-"""Ordinals and ranks that need no single task: every task numbers its own part, offsets come from the parts' sizes."""
+"""Ordinals that need no single task: every task numbers its own part, offsets come from the parts' sizes."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelgraph.session import durable
 
-#: Parts that a hashed order is cut into.
-PARTS = 64
-
-
-def seeded_rank(df: DataFrame, group: list[str], unique: str, seed: int, rank: str = "rank") -> DataFrame:
-    """df with the 0-based rank of each row within its group, in an order drawn from the seed.
-
-    A group is cut into PARTS parts of the hashed order, so that a group holding a third of all rows is ranked by many
-    tasks. `unique` tells the rows of a group apart; rows equal in it too are ranked in any order.
-    """
-    df = df.withColumn("_hash", F.xxhash64(F.lit(seed), F.col(unique)))
-    df = df.withColumn("_part", F.shiftrightunsigned("_hash", 58).cast("int"))
-    return _ranked(df, group, [F.col("_hash"), F.col(unique)], rank).drop("_hash", "_part")
+#: Bits of monotonically_increasing_id that count the rows of one partition.
+ROW_BITS = 33
 
 
 def ordinal(df: DataFrame, order: list[str], name: str = "ordinal", parts: int | None = None) -> DataFrame:
     """df with the 0-based place of each row in the whole table by `order`, ties in any order.
 
-    Rows are range partitioned by the order and numbered within each partition; only the partitions' sizes are gathered.
+    One shuffle: rows are range partitioned, sorted and numbered where they are. The numbered rows are kept, since another
+    run might cut the ranges elsewhere; only the parts' sizes, one row a part, are joined to them. An empty table stays so.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
-    return _ranked(durable(placed), [], [F.col(c) for c in order], name).drop("_part")
-
-
-def _ranked(df: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:
-    sizes = df.groupBy(*group, "_part").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*[F.col(c).alias(f"_g_{c}") for c in group], F.col("_part").alias("_p"),
-                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    own = F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order)) - 1
-    same = F.col("_part") == F.col("_p")
-    for c in group:
-        same &= F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-    numbered = df.withColumn("_own", own).join(offsets, same)
-    return numbered.withColumn(name, (F.col("_own") + F.col("_offset")).cast("long")).drop("_own", "_offset", "_p", *[f"_g_{c}" for c in group])
+    placed = durable(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", ROW_BITS)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    own = F.col("_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    return placed.join(offsets, part == F.col("_part")).withColumn(name, own + F.col("_offset")).drop("_id", "_part", "_offset")

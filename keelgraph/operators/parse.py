@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from keelgraph.functions.text import strip
@@ -15,9 +15,13 @@ from keelgraph.schemas import MENTION, TRIPLE
 ENTITY_FIELDS, TRIPLE_FIELDS = MENTION.names, TRIPLE.names
 
 
+# What is cut from an output.
+_THINKING, _FENCE = r"(?s)<think>.*?</think>", r"```(?:json)?\s*"
+
+
 def clean_output(raw: Column) -> Column:
     """Without reasoning, code fences and white space around."""
-    return strip(F.regexp_replace(F.regexp_replace(raw, r"(?s)<think>.*?</think>", ""), r"```(?:json)?\s*", ""))
+    return strip(F.regexp_replace(F.regexp_replace(raw, _THINKING, ""), _FENCE, ""))
 
 
 def repair_json(text: Column) -> Column:
@@ -50,14 +54,15 @@ def _rows(parsed: object, kind: str, chunk_id: str, aliases: dict[str, str]) ->
     return _valid(parsed.get("entities", []), ENTITY_FIELDS, chunk_id, {}) if kind == "joint" else [], triples
 
 
+_OWN = ("chunk_id", "status", "error", "cleaned", "entities", "triples")
 _PARSED = (
     f"chunk_id string, status string, error string, cleaned string, "
     f"entities array<struct<{','.join(f + ':string' for f in ENTITY_FIELDS)}>>, triples array<struct<{','.join(f + ':string' for f in TRIPLE_FIELDS)}>>"
 )
 
 
-def parse_output(outputs: DataFrame, kind: str, accept_predicate: bool = False) -> DataFrame:
-    """(chunk_id, status, error, cleaned, entities, triples) for outputs (chunk_id, raw).
+def parse_output(outputs: DataFrame, kind: str, accept_predicate: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """(chunk_id, status, error, cleaned, entities, triples) for outputs (chunk_id, raw), and the text columns `keep` of theirs.
 
     `kind` is `entities` (a list on top), `triples` or `joint` (an object with `triples`, and `entities`). Status: `ok`,
     `repaired`, `empty` for nothing after cleaning, `rejected` for what stays no JSON or has another top. Items that are no
@@ -66,7 +71,8 @@ def parse_output(outputs: DataFrame, kind: str, accept_predicate: bool = False)
     so. A null output is empty.
     """
     aliases = {"predicate": "relation"} if accept_predicate else {}
-    cleaned = outputs.select(F.col("chunk_id").cast("string").alias("chunk_id"), F.coalesce(clean_output(F.col("raw")), F.lit("")).alias("cleaned"))
+    keep = keep or []
+    cleaned = outputs.select(F.col("chunk_id").cast("string").alias("chunk_id"), F.coalesce(clean_output(F.col("raw")), F.lit("")).alias("cleaned"), *keep)
     both = cleaned.withColumn("repaired", repair_json(F.col("cleaned")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -86,18 +92,27 @@ def parse_output(outputs: DataFrame, kind: str, accept_predicate: bool = False)
                         status, error = "rejected", str(e)
                     break
                 rows.append((chunk_id, status, error, text, *found))
-            yield pd.DataFrame(rows, columns=["chunk_id", "status", "error", "cleaned", "entities", "triples"])
+            out = pd.DataFrame(rows, columns=["chunk_id", "status", "error", "cleaned", "entities", "triples"])
+            yield out.assign(**{c: batch[c].to_numpy() for c in keep})
+
+    return both.mapInPandas(run, ", ".join([_PARSED, *(f"{c} string" for c in keep)]))
+
 
-    return both.mapInPandas(run, _PARSED)
+def observed(parsed: DataFrame) -> tuple[DataFrame, Observation]:
+    """parsed, and an observation that holds the number of outputs of each status once the rows have been written."""
+    seen = Observation("parsed")
+    return parsed.observe(seen, *[F.count_if(F.col("status") == s).alias(s) for s in ("ok", "repaired", "empty", "rejected")]), seen
 
 
 def parsed_entities(parsed: DataFrame) -> DataFrame:
-    """The entities with their place `pos` in their chunk's output."""
-    return parsed.select(F.posexplode("entities").alias("pos", "e")).select("e.*", "pos")
+    """The entities with their place `pos` in their chunk's output, and the columns that were kept."""
+    kept = [c for c in parsed.columns if c not in _OWN]
+    return parsed.select(F.posexplode("entities").alias("pos", "e"), *kept).select("e.*", "pos", *kept)
 
 
 def parsed_triples(parsed: DataFrame) -> DataFrame:
-    return parsed.select(F.explode("triples").alias("t")).select("t.*")
+    kept = [c for c in parsed.columns if c not in _OWN]
+    return parsed.select(F.explode("triples").alias("t"), *kept).select("t.*", *kept)
 
 
 def rejects(parsed: DataFrame) -> DataFrame:

@@ -47,15 +47,15 @@ def text_to_fixes(lines: DataFrame, value: str = "value") -> DataFrame:
     return rows.where("index IS NOT NULL")
 
 
-def csv_to_fixes(lines: DataFrame, value: str = "value", most: int = 32) -> DataFrame:
-    """As `text_to_fixes`, but fields may be quoted with doubled quotes inside; fields beyond the fourth belong to the object.
-
-    `most` is the number of fields that a line can have.
+def csv_to_fixes(lines: DataFrame, value: str = "value") -> DataFrame:
+    """As `text_to_fixes`, but fields may be quoted with doubled quotes inside; fields beyond the fourth, however many, belong
+    to the object. Lines of fewer than four fields are dropped.
     """
     bare = lines.select(_unquoted(F.col(value)).alias("v")).where(~F.col("v").isin(*_HEADER) & (F.col("v") != ""))
-    schema = ", ".join(f"f{i} STRING" for i in range(most))
-    row = F.from_csv("v", F.lit(schema), {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "nullValue": "\x01"})
-    fields = F.filter(F.array(*[F.col(f"r.f{i}") for i in range(3, most)]), lambda x: x.isNotNull())
-    rows = bare.select(row.alias("r")).select(F.expr("try_cast(trim(r.f0) AS BIGINT)").alias("index"), F.trim("r.f1").alias("subject"), F.trim("r.f2").alias("relation"),
-                                              F.array_join(fields, ",").alias("object"))
-    return rows.where("index IS NOT NULL AND relation IS NOT NULL AND object <> ''")
+    # with a comma in front every field has one, so that an empty first field is found as well
+    found = F.regexp_extract_all(F.concat(F.lit(","), "v"), F.lit(r',("(?:[^"]|"")*"[^,]*|[^,]*)'), F.lit(1))
+    plain = lambda x: F.when(x.startswith('"'), F.replace(F.regexp_replace(x, '^"((?:[^"]|"")*)"', "$1"), F.lit('""'), F.lit('"'))).otherwise(x)
+    fields = bare.select(F.transform(found, plain).alias("f")).where(F.size("f") >= 4)
+    rest = F.concat(F.array(F.trim(F.col("f")[3])), F.slice("f", F.lit(5), F.greatest(F.size("f") - 4, F.lit(0))))
+    rows = fields.select(F.expr("try_cast(trim(f[0]) AS BIGINT)").alias("index"), F.trim(F.col("f")[1]).alias("subject"), F.trim(F.col("f")[2]).alias("relation"), F.array_join(rest, ",").alias("object"))
+    return rows.where("index IS NOT NULL")

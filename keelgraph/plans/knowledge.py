@@ -51,12 +51,16 @@ def entity_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return _flat(kb.lookup(kb.merge(entities(spark, folder), ["origin", "entity_id"]), "船体"))
 
 
+def _loaded(spark: SparkSession, folder: str) -> DataFrame:
+    return kb.load(entities(spark, folder).where("entity_name IS NOT NULL").select("entity_name", "entity_id", "type", "chunk_ids"), "entity_id")
+
+
 def entity_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return kb.statistics(entities(spark, folder))
+    return kb.statistics(_loaded(spark, folder))
 
 
 def entity_type_histogram(spark: SparkSession, folder: str) -> DataFrame:
-    return kb.type_histogram(entities(spark, folder))
+    return kb.type_histogram(_loaded(spark, folder))
 
 
 def _named_chunks(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,6 +100,21 @@ def llm_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return parse.rejects(parse.parse_output(_entity_outputs(spark, folder), "entities")).select("chunk_id")
 
 
+def _broken_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """An output of one mention for each record: well formed, with one of the defects that are repaired, empty, or cut off."""
+    item = F.to_json(F.struct("entity_name", F.lit("t").alias("type"), F.lit("g").alias("domain_relevance")))
+    with_summary = lambda text: F.concat(F.lit("["), F.expr("left(item, length(item) - 1)"), F.lit(f',"summary":"{text}"}}]'))
+    kind = F.col("entity_id") % 6
+    raw = (F.when(kind == 1, with_summary(r"\x41\xe9")).when(kind == 2, with_summary(r"a\qb")).when(kind == 3, with_summary(r"\u12"))
+           .when(kind == 4, F.lit("<think>nothing found</think>\n```json\n```")).when(kind == 5, F.concat(F.lit("["), "item")).otherwise(with_summary("plain")))
+    return entities(spark, folder).select("entity_id", item.alias("item")).select(F.col("entity_id").alias("chunk_id"), raw.alias("raw"))
+
+
+def llm_repairs(spark: SparkSession, folder: str) -> DataFrame:
+    parsed = parse.parse_output(_broken_outputs(spark, folder), "entities")
+    return parsed.select("chunk_id", "status", F.explode_outer("entities").alias("e")).select("chunk_id", "status", "e.entity_name", "e.summary")
+
+
 def _triple_outputs(spark: SparkSession, folder: str) -> DataFrame:
     """What an extractor would have said of each chunk, as its triples have it."""
     rows = table(spark, folder, "triples").where("chunk_id RLIKE '^[0-9]+$'")
@@ -114,35 +133,55 @@ def _said_of_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return _mentions(spark, folder).where("chunk_id IS NOT NULL").groupBy("chunk_id").agg(listed.alias("items"))
 
 
+def _answered(stored: DataFrame, prompts: DataFrame) -> DataFrame:
+    """Stored outputs of the prompts, with each prompt's digest in `asked`."""
+    return extract.Replay(stored).extract(prompts).where("raw IS NOT NULL").withColumn("asked", F.md5("prompt"))
+
+
 def entity_pipeline(spark: SparkSession, folder: str) -> DataFrame:
-    """Chunks and prompts to the knowledge base, with the stored outputs replayed, in ranges of 20 chunks."""
+    """Chunks and prompts to the knowledge base, with the stored outputs replayed, in ranges of 20 chunks.
+
+    Beside each name stands the digest of the prompt that named it first.
+    """
     todo = extract.extractable(table(spark, folder, "chunks"))
     prompts = todo.select("chunk_id", extract.render(extract.ENTITY_PROMPT, chunk_id=F.col("chunk_id"), text=F.col("text")).alias("prompt"))
     stored = _said_of_chunks(spark, folder).select("chunk_id", F.concat(F.lit("```json\n"), F.to_json("items"), F.lit("\n```")).alias("raw"))
-    raw = extract.Replay(stored).extract(prompts).where("raw IS NOT NULL")
-    mentions = parse.parsed_entities(parse.parse_output(raw, "entities")).withColumn("chunk_id", F.col("chunk_id").cast("long"))
+    mentions = parse.parsed_entities(parse.parse_output(_answered(stored, prompts), "entities", keep=["asked"])).withColumn("chunk_id", F.col("chunk_id").cast("long"))
     mentions = mentions.withColumn("range", kb.range_of(F.col("chunk_id"), 20))
-    return _flat(kb.merge(kb.build(mentions, ["chunk_id", "pos"], ["range"]), ["range"]))
+    merged = _flat(kb.merge(kb.build(mentions, ["chunk_id", "pos"], ["range"]), ["range"]))
+    return merged.join(mentions.groupBy("entity_name").agg(F.min_by("asked", "chunk_id").alias("first_prompt")), "entity_name")
 
 
 def joint_pipeline(spark: SparkSession, folder: str) -> DataFrame:
-    """(chunk_id, entities, triples): how many of each one output for both gives."""
+    """(chunk_id, asked, entities, triples): the digest of a chunk's prompt, and how many of each one output for both gives."""
+    todo = extract.extractable(table(spark, folder, "chunks"))
+    prompts = todo.select("chunk_id", extract.render(extract.JOINT_PROMPT, chunk_id=F.col("chunk_id"), text=F.col("text")).alias("prompt"))
     rows = table(spark, folder, "triples").where("chunk_id RLIKE '^[0-9]+$'").withColumn("chunk_id", F.col("chunk_id").cast("long"))
     said = rows.groupBy("chunk_id").agg(F.collect_list(F.struct("subject", F.col("relation").alias("predicate"), "object")).alias("triples"))
     both = said.join(_said_of_chunks(spark, folder), "chunk_id", "full").select("chunk_id", F.to_json(F.struct(F.col("items").alias("entities"), "triples")).alias("raw"))
-    parsed = parse.parse_output(both, "joint", accept_predicate=True)
-    return parsed.select("chunk_id", F.size("entities").alias("entities"), F.size("triples").alias("triples"))
+    parsed = parse.parse_output(_answered(both, prompts), "joint", accept_predicate=True, keep=["asked"])
+    return parsed.select("chunk_id", "asked", F.size("entities").alias("entities"), F.size("triples").alias("triples"))
 
 
-def relation_pipeline(spark: SparkSession, folder: str) -> DataFrame:
-    """Chunks, known names and prompts to triples, with the stored outputs replayed."""
-    chunks = table(spark, folder, "chunks")
-    todo = extract.extractable(chunks)
-    names = match.dictionary(entities(spark, folder), "entity_id", ["type", "summary"])
+def _relation_prompts(spark: SparkSession, folder: str) -> DataFrame:
+    """A prompt for every chunk, with the names it mentions and what is known of them."""
+    todo = extract.extractable(table(spark, folder, "chunks"))
+    filled = entities(spark, folder).select("entity_id", "entity_name", F.coalesce("type", F.array().cast("array<string>")).alias("type"), F.coalesce("summary", F.lit("")).alias("summary"))
+    names = match.dictionary(filled, "entity_id", ["type", "summary"])
     known = match.known_entities(todo, match.matches(todo, names, "chunk_id", "text"), names, "chunk_id")
-    prompts = todo.join(known, "chunk_id").select("chunk_id", extract.render(extract.RELATION_PROMPT, entities=F.col("entities"), chunk_id=F.col("chunk_id"), text=F.col("text")).alias("prompt"))
-    raw = extract.Replay(_triple_outputs(spark, folder)).extract(prompts).where("raw IS NOT NULL")
-    return parse.parsed_triples(parse.parse_output(raw, "triples")).groupBy("chunk_id").agg(F.count("*").alias("triples"))
+    return todo.join(known, "chunk_id").select("chunk_id", extract.render(extract.RELATION_PROMPT, entities=F.col("entities"), chunk_id=F.col("chunk_id"), text=F.col("text")).alias("prompt"))
+
+
+def relation_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """(chunk_id, asked, triples): the digest of the prompt with the chunk's known names, and how many triples its stored output gives."""
+    answered = _answered(_triple_outputs(spark, folder), _relation_prompts(spark, folder))
+    return parse.parse_output(answered, "triples", keep=["asked"]).select("chunk_id", "asked", F.size("triples").alias("triples"))
+
+
+def relation_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The triples that a rule reads out of the same prompts: each known name with the next one of its chunk."""
+    raw = extract.Rule().extract(_relation_prompts(spark, folder)).where("raw IS NOT NULL")
+    return parse.parsed_triples(parse.parse_output(raw, "triples"))
 
 
 def triples_union(spark: SparkSession, folder: str) -> DataFrame:
@@ -162,8 +201,9 @@ def triples_streamed_by_day(spark: SparkSession, folder: str) -> DataFrame:
     rows = incremental.stream(spark, f"{path[:-1]}[t]", spark.read.parquet(path).schema, files_per_batch=4)
     rows = rows.select("relation", F.col("loaded_at").cast("timestamp").alias("loaded_at"))
     target = shared_path(spark, "counts")
-    incremental.counted(incremental.windowed_counts(rows), shared_path(spark, "stream"), target)
-    return spark.read.parquet(target).select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "relation", "triples")
+    # the table's files are in no order of time, so that any of its rows may come last
+    incremental.counted(incremental.windowed_counts(rows, late="3650 days"), shared_path(spark, "stream"), target)
+    return incremental.latest(spark, target).select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "relation", "triples")
 
 
 def triples_vocab_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -202,7 +242,7 @@ def _placed(spark: SparkSession, folder: str) -> DataFrame:
 def _fixes(spark: SparkSession, folder: str, placed: DataFrame) -> DataFrame:
     """Relations written as the vocabulary's Chinese labels, to be fixed by place."""
     vocab = table(spark, folder, "relation_vocab").select(F.col("relation").alias("canonical"), "label_zh")
-    return placed.join(F.broadcast(vocab), F.col("relation") == F.col("label_zh")).select((F.col("ordinal") + 1).alias("index"), "subject", F.col("canonical").alias("relation"), "object")
+    return placed.join(vocab, F.col("relation") == F.col("label_zh")).select((F.col("ordinal") + 1).alias("index"), "subject", F.col("canonical").alias("relation"), "object")
 
 
 def relation_fix(spark: SparkSession, folder: str) -> DataFrame:
@@ -215,8 +255,7 @@ def chinese_relation_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fix_lines(spark: SparkSession, folder: str) -> DataFrame:
-    fixes = _fixes(spark, folder, _placed(spark, folder)).where("NOT contains(coalesce(subject, ''), ',') AND NOT contains(coalesce(object, ''), '\"')")
-    return fixes.select(F.concat(F.lit('"'), F.col("index").cast("string"), F.lit(","), F.coalesce("subject", F.lit("")), F.lit(","), "relation", F.lit(","), F.coalesce("object", F.lit("")), F.lit('"')).alias("value"))
+    return _fixes(spark, folder, _placed(spark, folder)).select(F.concat(F.lit('"'), F.col("index").cast("string"), F.lit(","), F.coalesce("subject", F.lit("")), F.lit(","), "relation", F.lit(","), F.coalesce("object", F.lit("")), F.lit('"')).alias("value"))
 
 
 def txt_to_csv(spark: SparkSession, folder: str) -> DataFrame:
@@ -224,10 +263,11 @@ def txt_to_csv(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quoted_txt_to_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """The same fixes with two objects each, so that fields are left over."""
-    fixes = _fixes(spark, folder, _placed(spark, folder)).where("NOT contains(coalesce(subject, ''), ',') AND NOT contains(concat(coalesce(subject, ''), coalesce(object, '')), '\"')")
-    text = lambda c: F.coalesce(c, F.lit(""))
-    return repair.csv_to_fixes(fixes.select(F.concat(F.lit('"'), F.concat_ws(",", F.col("index").cast("string"), text("subject"), "relation", text("object"), text("object")), F.lit('"')).alias("value")))
+    """The same fixes with a quoted subject that holds a comma and quotes, and forty objects each, so that fields are left over."""
+    subject = F.concat(F.lit('"'), F.replace(F.coalesce("subject", F.lit("")), F.lit('"'), F.lit('""')), F.lit(', ""x"""'))
+    objects = F.array_join(F.array_repeat(F.coalesce("object", F.lit("")), 40), ",")
+    fixes = _fixes(spark, folder, _placed(spark, folder))
+    return repair.csv_to_fixes(fixes.select(F.concat_ws(",", F.col("index").cast("string"), subject, "relation", objects).alias("value")))
 
 
 def _graph_nodes(records: DataFrame) -> DataFrame:
@@ -262,7 +302,7 @@ def import_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     entity_kb_build, entity_kb_merge, entity_lookup, entity_stats, entity_type_histogram, dictionary_match, match_topk_context, match_all_json, llm_parse_entities,
-    llm_rejects, llm_parse_triples, relation_pipeline, entity_pipeline, joint_pipeline, quoted_txt_to_csv, triples_union, triples_by_month, triples_streamed_by_day, triples_vocab_report, enrich_entities, nodes_csv, edges_csv,
+    llm_rejects, llm_repairs, llm_parse_triples, relation_pipeline, relation_rules, entity_pipeline, joint_pipeline, quoted_txt_to_csv, triples_union, triples_by_month, triples_streamed_by_day, triples_vocab_report, enrich_entities, nodes_csv, edges_csv,
     label_clean, label_distribution, relation_fix, chinese_relation_rows, txt_to_csv, node_upsert, edge_upsert, import_counts)}
 
 
@@ -301,30 +341,60 @@ _CLEAN = rf"CASE WHEN regexp_extract({_LABEL}, '[\x{{4E00}}-\x{{9FFF}}]+') <> ''
 _MATCHES = """k AS (SELECT entity_name, arg_max(coalesce(type, []), entity_id) AS type, arg_max(coalesce(summary, ''), entity_id) AS summary FROM entities WHERE entity_name <> '' GROUP BY 1),
         m AS (SELECT metadata, entity_name, type, summary, row_number() OVER (PARTITION BY metadata ORDER BY instr(chunk_content, entity_name) + length(entity_name), length(entity_name) DESC) AS place
             FROM chunks, k WHERE contains(chunk_content, entity_name))"""
+_MENTIONS = """m0 AS (SELECT entity_name, summary, origin, extracted_at, entity_id, chunk_ids, list_filter(coalesce(type, []), lambda x: x IS NOT NULL) AS t, list_filter(coalesce(domain_relevance, []), lambda x: x IS NOT NULL) AS d FROM entities),
+        m1 AS (SELECT *, unnest(range(greatest(len(t), len(d), 1))) AS class_place FROM m0),
+        classed AS (SELECT entity_name, summary, origin, extracted_at, entity_id, chunk_ids, class_place, t[least(class_place + 1, len(t))] AS type, d[least(class_place + 1, len(d))] AS dr FROM m1),
+        m2 AS (SELECT *, unnest(chunk_ids) AS chunk_id, unnest(range(len(chunk_ids))) AS chunk_place FROM classed),
+        mentions AS (SELECT * FROM m2 WHERE chunk_id IS NOT NULL)"""
+_WHOLE_MENTION = "entity_name IS NOT NULL AND type IS NOT NULL AND dr IS NOT NULL AND summary IS NOT NULL"
+_BARE_CHUNKS = f"bare AS (SELECT metadata, regexp_replace(chunk_content, {STRIP}) AS text FROM chunks), todo AS (SELECT * FROM bare WHERE text <> '')"
+
+
+def _asked(template: str, **values: str) -> str:
+    """The digest of a rendered prompt."""
+    out = f"'{template}'"
+    for name, value in values.items():
+        out = f"replace({out}, '{{{name}}}', {value})"
+    return f"md5({out})"
+
+
+def _built(order: str) -> str:
+    """Ranges of mentions n, merged."""
+    return f"""g AS (SELECT range, entity_name, list_filter(list(type ORDER BY {order}), lambda x: x IS NOT NULL) AS t, list_filter(list(dr ORDER BY {order}), lambda x: x IS NOT NULL) AS d,
+            list(coalesce(summary, '') ORDER BY {order}) AS s, list(chunk_id ORDER BY {order}) AS c FROM n GROUP BY 1, 2),
+        r AS (SELECT range, entity_name, {_first('t')} AS type, {_first('d')} AS domain_relevance, {_fold('s')} AS summary, {_first('c')} AS chunk_ids FROM g),
+        {_merged('r', 'range')}"""
+
+
+_KNOWN = f"""{_BARE_CHUNKS}, k AS (SELECT entity_name, arg_max(coalesce(type, []), entity_id) AS type, arg_max(coalesce(summary, ''), entity_id) AS summary FROM entities WHERE entity_name <> '' GROUP BY 1),
+        hits AS (SELECT metadata, entity_name, type, summary, row_number() OVER (PARTITION BY metadata ORDER BY instr(text, entity_name) + length(entity_name), length(entity_name) DESC) AS place FROM todo, k WHERE contains(text, entity_name))"""
 _PLACED = "p AS (SELECT triple_id, subject, relation, object, row_number() OVER (ORDER BY triple_id) - 1 AS ordinal FROM triples)"
 _STANDING = "(SELECT DISTINCT entity_name FROM entities)"
 
 ORACLE = {
-    "entity_kb_build": f"""WITH n AS (SELECT entity_name, type[1] AS type, domain_relevance[1] AS dr, summary, chunk_ids[1] AS chunk_id, extracted_at, entity_id, chunk_ids[1] // 20 AS range FROM entities WHERE chunk_ids[1] IS NOT NULL),
-        g AS (SELECT range, entity_name, list_filter(list(type ORDER BY extracted_at NULLS FIRST, entity_id), lambda x: x IS NOT NULL) AS t, list_filter(list(dr ORDER BY extracted_at NULLS FIRST, entity_id), lambda x: x IS NOT NULL) AS d,
-            list(coalesce(summary, '') ORDER BY extracted_at NULLS FIRST, entity_id) AS s, list(chunk_id ORDER BY extracted_at NULLS FIRST, entity_id) AS c FROM n GROUP BY 1, 2),
-        r AS (SELECT range, entity_name, {_first('t')} AS type, {_first('d')} AS domain_relevance, {_fold('s')} AS summary, {_first('c')} AS chunk_ids FROM g),
-        {_merged('r', 'range')} SELECT * FROM m""",
+    "entity_kb_build": f"""WITH {_MENTIONS}, n AS (SELECT *, chunk_id // 20 AS range FROM mentions WHERE entity_name IS NOT NULL),
+        {_built('extracted_at NULLS FIRST, entity_id, chunk_place, class_place')} SELECT * FROM m""",
     "entity_kb_merge": f"WITH {_merged('entities', 'origin NULLS FIRST, entity_id')} SELECT * FROM m",
     "entity_lookup": f"WITH {_merged('entities', 'origin NULLS FIRST, entity_id')} SELECT * FROM m WHERE entity_name = '船体'",
-    "entity_stats": "SELECT count(*) AS entities, CAST(coalesce(sum(len(chunk_ids)), 0) AS BIGINT) AS chunk_references FROM entities",
-    "entity_type_histogram": "SELECT type, count(*) AS entities FROM (SELECT unnest(type) AS type FROM entities) GROUP BY 1",
+    "entity_stats": "WITH k AS (SELECT entity_name, arg_max(coalesce(chunk_ids, []), entity_id) AS c FROM entities WHERE entity_name IS NOT NULL GROUP BY 1) SELECT count(*) AS entities, CAST(coalesce(sum(len(c)), 0) AS BIGINT) AS chunk_references FROM k",
+    "entity_type_histogram": "WITH k AS (SELECT entity_name, arg_max(coalesce(type, []), entity_id) AS t FROM entities WHERE entity_name IS NOT NULL GROUP BY 1) SELECT type, count(*) AS entities FROM (SELECT unnest(t) AS type FROM k) GROUP BY 1",
     "dictionary_match": f"WITH {_MATCHES} SELECT metadata, entity_name, place FROM m",
     "match_topk_context": f"""WITH {_MATCHES}, l AS (SELECT metadata, string_agg('- ' || entity_name || ' (' || array_to_string(type[1:3], ', ') || '): ' || substr(summary, 1, 100) || '...', chr(10) ORDER BY place) AS context FROM m WHERE place <= 15 GROUP BY 1)
         SELECT metadata, coalesce(context, '未找到相关实体') AS context FROM chunks LEFT JOIN l USING (metadata)""",
     "match_all_json": f"""WITH {_MATCHES}, l AS (SELECT metadata, '[' || string_agg('{{"entity_name":' || to_json(entity_name) || ',"summary":' || to_json(summary) || '}}', ',' ORDER BY place) || ']' AS entities FROM m GROUP BY 1)
         SELECT metadata, coalesce(entities, '[]') AS entities FROM chunks LEFT JOIN l USING (metadata)""",
     "triples_streamed_by_day": "SELECT strftime(loaded_at, '%Y-%m-%d') AS day, relation, count(*) AS triples FROM triples GROUP BY 1, 2",
-    "llm_parse_entities": "SELECT entity_name, type[1] AS type, domain_relevance[1] AS domain_relevance, summary, CAST(entity_id AS VARCHAR) AS chunk_id FROM entities WHERE origin IS DISTINCT FROM 'model_b' AND entity_name IS NOT NULL AND type[1] IS NOT NULL AND domain_relevance[1] IS NOT NULL AND summary IS NOT NULL",
+    "llm_parse_entities": f"WITH {_MENTIONS} SELECT entity_name, type, dr AS domain_relevance, summary, CAST(entity_id AS VARCHAR) AS chunk_id FROM classed WHERE origin IS DISTINCT FROM 'model_b' AND {_WHOLE_MENTION}",
+    "llm_repairs": r"""WITH r AS (SELECT entity_id, entity_name, ['ok', 'repaired', 'repaired', 'repaired', 'empty', 'rejected'][entity_id % 6 + 1] AS status, ['plain', 'Aé', 'aqb', '\u12', NULL, NULL][entity_id % 6 + 1] AS summary FROM entities)
+        SELECT CAST(entity_id AS VARCHAR) AS chunk_id, status, CASE WHEN summary IS NOT NULL THEN entity_name END AS entity_name, CASE WHEN entity_name IS NOT NULL THEN summary END AS summary FROM r""",
     "llm_rejects": "SELECT CAST(entity_id AS VARCHAR) AS chunk_id FROM entities WHERE origin = 'model_b'",
     "llm_parse_triples": "SELECT subject, relation, object, CAST(CAST(chunk_id AS BIGINT) AS VARCHAR) AS chunk_id FROM triples WHERE regexp_matches(chunk_id, '^[0-9]+$') AND subject IS NOT NULL AND relation IS NOT NULL AND object IS NOT NULL",
-    "relation_pipeline": f"""WITH t AS (SELECT CAST(CAST(chunk_id AS BIGINT) AS VARCHAR) AS chunk_id FROM triples WHERE regexp_matches(chunk_id, '^[0-9]+$') AND subject IS NOT NULL AND relation IS NOT NULL AND object IS NOT NULL)
-        SELECT chunk_id, count(*) AS triples FROM t WHERE CAST(chunk_id AS BIGINT) IN (SELECT metadata FROM chunks WHERE regexp_replace(chunk_content, {STRIP}) <> '') GROUP BY 1""",
+    "relation_pipeline": f"""WITH {_KNOWN}, l AS (SELECT metadata, '[' || string_agg('{{"entity_name":' || to_json(entity_name) || ',"type":' || to_json(type) || ',"summary":' || to_json(summary) || '}}', ',' ORDER BY place) || ']' AS entities FROM hits GROUP BY 1),
+        t AS (SELECT CAST(chunk_id AS BIGINT) AS c, count(*) FILTER (subject IS NOT NULL AND relation IS NOT NULL AND object IS NOT NULL) AS n FROM triples WHERE regexp_matches(chunk_id, '^[0-9]+$') GROUP BY 1)
+        SELECT CAST(metadata AS VARCHAR) AS chunk_id, {_asked(extract.RELATION_PROMPT, entities="coalesce(entities, '[]')", chunk_id="CAST(metadata AS VARCHAR)", text="text")} AS asked, n AS triples
+        FROM todo LEFT JOIN l USING (metadata) JOIN t ON c = metadata""",
+    "relation_rules": f"""WITH {_KNOWN} SELECT a.entity_name AS subject, '{extract.Rule.RELATION}' AS relation, b.entity_name AS object, CAST(a.metadata AS VARCHAR) AS chunk_id
+        FROM hits a JOIN hits b ON a.metadata = b.metadata AND b.place = a.place + 1""",
     "triples_union": "SELECT subject, relation, object, chunk_id FROM triples UNION ALL SELECT entity_name, 'belongs_to', unnest(type), NULL FROM entities",
     "triples_by_month": "SELECT strftime(loaded_at, '%Y-%m') AS month, count(*) AS triples, count(DISTINCT struct_pack(s := subject, r := relation, o := object)) AS distinct_triples FROM triples GROUP BY 1",
     "triples_vocab_report": "SELECT relation, relation IS NOT NULL AND relation IN (SELECT relation FROM relation_vocab) AS in_vocabulary, count(*) AS triples, count(DISTINCT subject) AS subjects FROM triples GROUP BY 1",
@@ -335,18 +405,16 @@ ORACLE = {
     "label_distribution": f"WITH {_ENRICHED} SELECT {_CLEAN} AS label, count(*) AS nodes FROM nodes GROUP BY 1",
     "relation_fix": f"WITH {_PLACED} SELECT ordinal, subject, coalesce(v.relation, p.relation) AS relation, object, v.relation IS NOT NULL AS fixed FROM p LEFT JOIN relation_vocab v ON p.relation = v.label_zh",
     "chinese_relation_rows": rf"WITH {_PLACED} SELECT ordinal + 1 AS index, subject, relation, object FROM p WHERE regexp_matches(relation, '[\x{{4E00}}-\x{{9FFF}}]')",
-    "txt_to_csv": f"""WITH {_PLACED} SELECT ordinal + 1 AS index, coalesce(subject, '') AS subject, v.relation, coalesce(object, '') AS object FROM p JOIN relation_vocab v ON p.relation = v.label_zh
-        WHERE NOT contains(coalesce(subject, ''), ',') AND NOT contains(coalesce(object, ''), '"')""",
-    "entity_pipeline": f"""WITH n AS (SELECT entity_name, type[1] AS type, domain_relevance[1] AS dr, summary, chunk_ids[1] AS chunk_id, entity_id, chunk_ids[1] // 20 AS range FROM entities
-            WHERE chunk_ids[1] IN (SELECT metadata FROM chunks WHERE regexp_replace(chunk_content, {STRIP}) <> '') AND entity_name IS NOT NULL AND type[1] IS NOT NULL AND domain_relevance[1] IS NOT NULL AND summary IS NOT NULL),
-        g AS (SELECT range, entity_name, list(type ORDER BY chunk_id, entity_id) AS t, list(dr ORDER BY chunk_id, entity_id) AS d, list(summary ORDER BY chunk_id, entity_id) AS s, list(chunk_id ORDER BY chunk_id, entity_id) AS c FROM n GROUP BY 1, 2),
-        r AS (SELECT range, entity_name, {_first('t')} AS type, {_first('d')} AS domain_relevance, {_fold('s')} AS summary, {_first('c')} AS chunk_ids FROM g),
-        {_merged('r', 'range')} SELECT * FROM m""",
-    "joint_pipeline": """WITH e AS (SELECT chunk_ids[1] AS c, count(*) FILTER (entity_name IS NOT NULL AND type[1] IS NOT NULL AND domain_relevance[1] IS NOT NULL AND summary IS NOT NULL) AS n FROM entities WHERE chunk_ids[1] IS NOT NULL GROUP BY 1),
+    "txt_to_csv": f"""WITH {_PLACED}, l AS (SELECT string_split((ordinal + 1)::VARCHAR || ',' || coalesce(subject, '') || ',' || v.relation || ',' || coalesce(object, ''), ',') AS f FROM p JOIN relation_vocab v ON p.relation = v.label_zh)
+        SELECT CAST(f[1] AS BIGINT) AS index, trim(trim(f[2], ' '), '"') AS subject, trim(trim(f[3], ' '), '"') AS relation, trim(trim(array_to_string(f[4:], ','), ' '), '"') AS object FROM l""",
+    "entity_pipeline": f"""WITH {_MENTIONS}, {_BARE_CHUNKS}, n AS (SELECT *, chunk_id // 20 AS range FROM mentions WHERE chunk_id IN (SELECT metadata FROM todo) AND {_WHOLE_MENTION}),
+        {_built('chunk_id, entity_id, class_place')}, f AS (SELECT entity_name, min(chunk_id) AS c FROM n GROUP BY 1)
+        SELECT m.*, {_asked(extract.ENTITY_PROMPT, chunk_id="CAST(c AS VARCHAR)", text="text")} AS first_prompt FROM m JOIN f USING (entity_name) JOIN todo ON c = metadata""",
+    "joint_pipeline": f"""WITH {_MENTIONS}, {_BARE_CHUNKS}, e AS (SELECT chunk_id AS c, count(*) FILTER ({_WHOLE_MENTION}) AS n FROM mentions GROUP BY 1),
         t AS (SELECT CAST(chunk_id AS BIGINT) AS c, count(*) FILTER (subject IS NOT NULL AND relation IS NOT NULL AND object IS NOT NULL) AS n FROM triples WHERE regexp_matches(chunk_id, '^[0-9]+$') GROUP BY 1)
-        SELECT CAST(coalesce(e.c, t.c) AS VARCHAR) AS chunk_id, coalesce(e.n, 0) AS entities, coalesce(t.n, 0) AS triples FROM e FULL JOIN t ON e.c = t.c""",
-    "quoted_txt_to_csv": f"""WITH {_PLACED} SELECT ordinal + 1 AS index, trim(coalesce(subject, '')) AS subject, v.relation, coalesce(object, '') || ',' || coalesce(object, '') AS object FROM p JOIN relation_vocab v ON p.relation = v.label_zh
-        WHERE NOT contains(coalesce(subject, ''), ',') AND NOT contains(coalesce(subject, '') || coalesce(object, ''), '"')""",
+        SELECT CAST(metadata AS VARCHAR) AS chunk_id, {_asked(extract.JOINT_PROMPT, chunk_id="CAST(metadata AS VARCHAR)", text="text")} AS asked, coalesce(e.n, 0) AS entities, coalesce(t.n, 0) AS triples
+        FROM todo LEFT JOIN e ON e.c = metadata LEFT JOIN t ON t.c = metadata WHERE e.c IS NOT NULL OR t.c IS NOT NULL""",
+    "quoted_txt_to_csv": f"""WITH {_PLACED} SELECT ordinal + 1 AS index, trim(coalesce(subject, '') || ', "x"') AS subject, v.relation, ltrim(rtrim(coalesce(object, ''))) || repeat(',' || coalesce(object, ''), 39) AS object FROM p JOIN relation_vocab v ON p.relation = v.label_zh""",
     "node_upsert": f"""WITH o AS (SELECT entity_name AS id, arg_max(coalesce(type, []), entity_id) AS type, arg_max(struct_pack(s := summary, o := origin), entity_id) AS v FROM entities WHERE loaded_at < '2024-07-01' GROUP BY 1),
         n AS (SELECT entity_name AS id, flatten(list(coalesce(type, []) ORDER BY entity_id)) AS type, arg_max(summary, entity_id) FILTER (summary IS NOT NULL) AS s, arg_max(origin, entity_id) FILTER (origin IS NOT NULL) AS og FROM entities WHERE loaded_at >= '2024-07-01' GROUP BY 1),
         j AS (SELECT coalesce(o.id, n.id) AS id, list_concat(coalesce(o.type, []), coalesce(n.type, [])) AS l, coalesce(n.s, o.v.s) AS summary, coalesce(n.og, o.v.o) AS origin FROM o FULL JOIN n ON o.id = n.id)

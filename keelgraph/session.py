@@ -32,27 +32,51 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """df over at least as many partitions as there are cores, for work that is heavy for the bytes it reads.
 
-    Only an input of few splits is shuffled; one of many is left as it is.
+    Only a scan of few splits is shuffled; one of many is left as it is, and so is what comes out of a shuffle, whose
+    partitions can't be counted without running it.
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def _checkpoint_dir(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; only where it names none (as in tests) a new local one."""
+#: Folders of intermediate tables that `release` deletes.
+_made: list[str] = []
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    """The session's shared folder (spark.checkpoint.dir). Only in local mode, as in tests, may it be missing."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="keelgraph-"))
-    return sc.getCheckpointDir()
+    folder = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="keelgraph-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    path = f"{_shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """The rows of df with their lineage cut, kept in the shared checkpoint folder."""
-    _checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows of df as a table written to the shared folder: worked out once, however often and by whichever columns it is read.
+
+    Its lineage ends at the files, so a lost executor costs only its running tasks.
+    """
+    path = shared_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared checkpoint folder."""
-    return f"{_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+def release(spark: SparkSession) -> None:
+    """Deletes the intermediate tables written so far; to be called when the results that read them are written."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(hadoop).delete(path, True)

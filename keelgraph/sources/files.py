@@ -69,6 +69,13 @@ def write_json_lines(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path)
 
 
+def write_json_arrays(rows: DataFrame, path: str, range_column: str = "range_start") -> None:
+    """One JSON array of each range's rows, in a folder of the range's own; a range is as small as its batch of chunks."""
+    own = F.struct(*[c for c in rows.columns if c != range_column])
+    listed = rows.groupBy(range_column).agg(F.to_json(F.collect_list(own)).alias("value"))
+    listed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(range_column).text(path)
+
+
 def write_csv(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="")
 

@@ -16,52 +16,58 @@ def stream(spark: SparkSession, path: str, schema, files_per_batch: int = 100, f
     return spark.readStream.schema(schema).format(file_format).option("maxFilesPerTrigger", files_per_batch).load(path)
 
 
-def run_available(rows: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> StreamingQuery:
+def run_available(rows: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
     """Hands every micro-batch of what is there to `each`, then ends; the next run goes on where this one stopped."""
-    query = rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = rows.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
-def append_triples(rows: DataFrame, checkpoint: str, target: str) -> StreamingQuery:
-    """Triples added to a table partitioned by batch; a batch that is repeated after a failure overwrites itself."""
+def append_batches(rows: DataFrame, checkpoint: str, target: str, prepared: Callable[[DataFrame], DataFrame], mode: str = "append") -> StreamingQuery:
+    """Every batch, prepared, in a partition of its own; a batch that is repeated after a failure overwrites itself."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(*TRIPLE.names).withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
+        (prepared(batch).withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(target))
 
-    return run_available(rows, checkpoint, write)
+    return run_available(rows, checkpoint, write, mode)
+
+
+def append_triples(rows: DataFrame, checkpoint: str, target: str) -> StreamingQuery:
+    return append_batches(rows, checkpoint, target, lambda batch: batch.select(*TRIPLE.names))
 
 
 def merge_knowledge(rows: DataFrame, checkpoint: str, target: str) -> StreamingQuery:
-    """Records merged by name, batch after batch, into versions `target/v=N`; the newest version is the knowledge base.
+    """Records merged by name within each batch and added to the batches before; `knowledge` merges the batches.
 
-    A batch's result depends only on the version before it, so a repeated batch writes the same version again.
+    A batch writes only the names it has, so its cost follows its own size and not that of the knowledge base.
     """
+    records = lambda batch: kb.merge(batch.select("entity_name", *kb.LISTS, "summary", "position"), ["position"])
+    return append_batches(rows, checkpoint, target, records)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        merged = kb.merge(batch.select("entity_name", *kb.LISTS, "summary", F.lit(0).alias("age"), F.col("position")), ["position"])
-        if batch_id:
-            before = spark.read.parquet(f"{target}/v={batch_id - 1}")
-            both = before.withColumn("age", F.lit(0)).unionByName(merged.withColumn("age", F.lit(1)))
-            merged = kb.merge(both, ["age"])
-        merged.write.mode("overwrite").parquet(f"{target}/v={batch_id}")
 
-    return run_available(rows, checkpoint, write)
+def knowledge(spark: SparkSession, target: str) -> DataFrame:
+    """The knowledge base that batches make together: a name's records merged in the order of their batches, which is what
+    merging batch after batch gives.
+    """
+    return kb.merge(spark.read.parquet(target), ["batch"])
 
 
 def windowed_counts(rows: DataFrame, time: str = "loaded_at", late: str = "30 days", length: str = "1 day") -> DataFrame:
-    """(window, relation, triples) per period of load, late rows within the watermark included."""
+    """(window, relation, triples) per period of load.
+
+    Counts are held as state until the watermark, `late` behind the latest time seen, has passed their period; rows that come
+    later still are left out. So the state is as large as the periods within `late`.
+    """
     return rows.withWatermark(time, late).groupBy(F.window(time, length), "relation").agg(F.count("*").alias("triples"))
 
 
 def counted(rows: DataFrame, checkpoint: str, target: str) -> StreamingQuery:
-    """An aggregated stream run over what is there; the target holds the whole result after every batch."""
+    """The counts that each batch of an aggregated stream changes, in a partition of the batch's own; see `latest`."""
+    return append_batches(rows, checkpoint, target, lambda batch: batch, "update")
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
 
-    query = rows.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
+def latest(spark: SparkSession, target: str) -> DataFrame:
+    """(window, relation, triples) as the last batch that changed each count left it."""
+    rows = spark.read.parquet(target)
+    return rows.groupBy("window", "relation").agg(F.max_by("triples", "batch").alias("triples"))

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from keelgraph.operators import graph, kb, match, parse, repair, triples
-from keelgraph.operators.ordinals import ordinal, seeded_rank
+from keelgraph.operators.ordinals import ordinal
 
 MENTION = "entity_name string, type string, domain_relevance string, summary string, chunk_id long, ord long, rng long"
 RECORD = "entity_name string, type array<string>, domain_relevance array<string>, summary string, chunk_ids array<long>, ord long"
@@ -41,7 +41,7 @@ def test_match_order(spark):
     texts = spark.createDataFrame([(1, "she sells"), (2, None), (3, "")], "k long, t string")
     names = spark.createDataFrame([(n,) for n in ("he", "she", "sell", "ells", "s", "", "she")], "entity_name string")
     assert [n for _, _, n in matched(match.matches(texts, names, "k", "t"))] == ["s", "she", "he", "sell", "ells"]
-    assert [n for _, _, n in matched(match.matches(texts, names, "k", "t", most_characters=0))] == ["s", "she", "he", "sell", "ells"]
+    assert [n for _, _, n in matched(match.matches(texts, names, "k", "t", n=1))] == ["s", "she", "he", "sell", "ells"]
     assert match.matches(texts, names.limit(0), "k", "t").count() == 0
     assert match.matches(texts.limit(0), names, "k", "t").count() == 0
 
@@ -62,7 +62,14 @@ def test_match_is_the_nested_loop(spark):
     names = spark.createDataFrame([(word(random.randint(1, 6)),) for _ in range(80)], "entity_name string")
     expected = by_nested_loop(texts, names)
     assert matched(match.matches(texts, names, "k", "t")) == expected
-    assert matched(match.matches(texts, names, "k", "t", most_characters=0)) == expected
+    for n in (1, 2, 3):
+        assert matched(match.matches(texts, names, "k", "t", n=n)) == expected
+
+
+def test_match_of_texts_with_one_key(spark):
+    texts = spark.createDataFrame([(1, "xx ab"), (1, "ab"), (None, "ab")], "k long, t string")
+    names = spark.createDataFrame([("ab",), ("b",), ("xx a",)], "entity_name string")
+    assert matched(match.matches(texts.where("k IS NOT NULL"), names, "k", "t")) == [(1, 1, "ab"), (1, 2, "b"), (1, 3, "xx a")]
 
 
 def test_context(spark):
@@ -88,6 +95,18 @@ def test_parse_entities(spark):
     assert len(got[5].entities) == 1 and got[6].entities == [] and got[7].entities[0].summary == "é q \\u12"
 
 
+def test_repair_paths_and_observation(spark):
+    item = '[{"entity_name":"a","type":"t","domain_relevance":"g","summary":"%s","chunk_id":"9"}]'
+    raw = [item % x for x in (r"\xE9\x41", r"1\.5 \d", r"\u12", r"\uZZ", "fine")] + ["<think>x</think>", item[:-3]]
+    df = spark.createDataFrame(list(enumerate(raw)), "chunk_id long, raw string").withColumn("more", F.concat(F.lit("m"), "chunk_id"))
+    rows, seen = parse.observed(parse.parse_output(df, "entities", keep=["more"]))
+    got = {int(r.chunk_id): r for r in rows.collect()}
+    assert [got[i].status for i in range(7)] == ["repaired"] * 4 + ["ok", "empty", "rejected"] and got[3].more == "m3"
+    assert [got[i].entities[0].summary for i in range(5)] == ["éA", "1.5 d", "\\u12", "\\uZZ", "fine"]
+    assert seen.get == {"ok": 1, "repaired": 4, "empty": 1, "rejected": 1}
+    assert {r.more for r in parse.parsed_entities(parse.parse_output(df, "entities", keep=["more"])).collect()} == {f"m{i}" for i in range(5)}
+
+
 def test_parse_triples(spark):
     raw = ['{"triples":[{"subject":"a","relation":"r","object":"b","chunk_id":"x"},{"subject":5,"relation":"r","object":"b"}]}', "{}", "[]",
            '{"triples":[{"subject":"a","predicate":"r","object":"b"}],"entities":[]}', '{"triples":[],"triples":[{"subject":"z","relation":"r","object":"b"}]}']
@@ -148,17 +167,14 @@ def test_fixes(spark):
     assert [r.fix_subject for r in repair.fix_mismatches(edges, fixes, "ordinal").collect()] == ["t"]
     lines = spark.createDataFrame([("﻿\"index,subject,relation,object\"",), ('"7,a,r,x,y"',), ('  "8,"b", r ,c"  ',), ('"bad"',), ("",), (None,), ('"x,a,b,c"',)], "value string")
     assert sorted(tuple(r) for r in repair.text_to_fixes(lines).collect()) == [(7, "a", "r", "x,y"), (8, "b", "r", "c")]
-    quoted = spark.createDataFrame([('"9,a,r,x,y"',), ('"10,"a,b",r,"c ""d"""',)], "value string")
+    quoted = spark.createDataFrame([('"9,a,r,x,y"',), ('"10,"a,b",r,"c ""d"""',), ("11,a,r," + ",".join(map(str, range(43))),), ("12,a,r",), ("13,,r,",)], "value string")
     got = {r["index"]: (r.subject, r.relation, r.object) for r in repair.csv_to_fixes(quoted).collect()}
-    assert got[9] == ("a", "r", "x,y") and got[10][0] == "a,b"
+    assert got[9] == ("a", "r", "x,y") and got[10] == ("a,b", "r", 'c "d') and got[11][2] == ",".join(map(str, range(43)))
+    assert 12 not in got and got[13] == ("", "r", "")
 
 
 def test_ordinals(spark):
     df = spark.range(500).withColumn("g", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)))
     placed = ordinal(df, ["g", "id"]).orderBy("ordinal").collect()
     assert [r.ordinal for r in placed] == list(range(500)) and [(r.g, r.id) for r in placed] == sorted((r.g, r.id) for r in placed)
-    ranked = seeded_rank(df.withColumn("g", F.when(F.col("id") > 4, F.col("g"))), ["g"], "id", 1)
-    for _, part in __import__("itertools").groupby(sorted(((r.g or "", r["rank"]) for r in ranked.collect())), key=lambda x: x[0]):
-        ranks = [x for _, x in part]
-        assert ranks == list(range(len(ranks)))
     assert ordinal(df.limit(0), ["id"]).count() == 0

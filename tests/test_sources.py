@@ -1,7 +1,9 @@
 import json
+import os
 
 from pyspark.sql import functions as F
 
+from keelgraph import session
 from keelgraph.schemas import ENTITY, FIX, TRIPLE
 from keelgraph.sources import files
 from keelgraph.streaming import incremental
@@ -47,6 +49,22 @@ def test_ranges_replace_themselves(spark, tmp_path):
     assert sorted(r.n for r in spark.read.parquet(path).collect()) == [2, 3]
 
 
+def test_json_arrays_by_range(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 0), ("b", 0), ("c", 20)], "name string, range_start long")
+    for _ in range(2):
+        files.write_json_arrays(rows, str(tmp_path / "j"))
+    got = {p.parent.name: sorted(x["name"] for x in json.loads(p.read_text())) for p in (tmp_path / "j").glob("*/*.txt")}
+    assert got == {"range_start=0": ["a", "b"], "range_start=20": ["c"]}
+
+
+def test_durable_tables_are_released(spark):
+    kept = session.durable(spark.range(3))
+    assert kept.count() == 3
+    path = session._made[-1]
+    session.release(spark)
+    assert not os.path.exists(path) and session._made == []
+
+
 def test_streams(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     triple = lambda s: spark.createDataFrame([(s, "r", "o", "1")], TRIPLE)
@@ -64,18 +82,28 @@ def test_streamed_merge(spark, tmp_path):
     for i, (summary, types) in enumerate([("A", ["x"]), ("B", ["y", "x"])]):
         spark.createDataFrame([("e", types, ["g"], summary, [i], i)], schema).write.mode("append").parquet(source)
         incremental.merge_knowledge(incremental.stream(spark, source, schema), str(tmp_path / "c"), target)
-    last = spark.read.parquet(f"{target}/v=1").collect()
+    last = incremental.knowledge(spark, target).collect()
     assert len(last) == 1 and last[0].summary == "A | B" and last[0].type == ["x", "y"] and last[0].chunk_ids == [0, 1]
+    written = spark.read.parquet(target)
+    assert written.where("batch = 1").count() == 1 and written.where("batch = 1").first().summary == "B"  # a batch holds only its own names
 
 
 def test_windows_with_late_rows(spark, tmp_path):
     rows = spark.createDataFrame([("r", "2024-03-01 10:00:00"), ("r", "2024-03-01 11:00:00"), ("q", "2024-03-02 01:00:00")], "relation string, t string")
     rows = rows.select("relation", F.to_timestamp("t").alias("loaded_at"))
     rows.write.parquet(str(tmp_path / "in"))
-    counted = incremental.windowed_counts(incremental.stream(spark, str(tmp_path / "in"), rows.schema))
-    query = counted.writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start()
-    query.awaitTermination()
-    assert {(r.relation, r.triples) for r in spark.sql("SELECT relation, triples FROM windows").collect()} == {("r", 2), ("q", 1)}
+    run = lambda: incremental.counted(incremental.windowed_counts(incremental.stream(spark, str(tmp_path / "in"), rows.schema)), str(tmp_path / "c"), str(tmp_path / "out"))
+    now = lambda: {(r.relation, str(r.window.start)[:10], r.triples) for r in incremental.latest(spark, str(tmp_path / "out")).collect()}
+    run()
+    assert now() == {("r", "2024-03-01", 2), ("q", "2024-03-02", 1)}
+    late = spark.createDataFrame([("r", "2024-03-01 12:00:00"), ("s", "2025-01-01 00:00:00")], "relation string, t string")
+    late.select("relation", F.to_timestamp("t").alias("loaded_at")).write.mode("append").parquet(str(tmp_path / "in"))
+    run()
+    assert now() == {("r", "2024-03-01", 3), ("q", "2024-03-02", 1), ("s", "2025-01-01", 1)}
+    later = spark.createDataFrame([("r", "2024-03-01 13:00:00")], "relation string, t string")  # behind the watermark by now
+    later.select("relation", F.to_timestamp("t").alias("loaded_at")).write.mode("append").parquet(str(tmp_path / "in"))
+    run()
+    assert ("r", "2024-03-01", 3) in now()
 
 
 def test_graph_tables(spark, tmp_path):

@@ -1,8 +1,12 @@
+import random
+import threading
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from keelgraph.functions.lookalike import fold, look
+from keelgraph.functions.lookalike import look
 from keelgraph.functions.text import clean_label, fold_summaries, strip
 from keelgraph.operators import chunking, extract, markdown
 
@@ -17,7 +21,6 @@ def test_look():
     assert look("m²") != look("m2") and look("㎡") == "m²" and look("A") != look("a") and look("e") != look("é")
     assert look("a b") == look("a b") == look("a　b") != look("ab")
     assert look("") == "" and look("​") == ""
-    assert fold("ＡⅣ²") == "aiv2" and fold("Straße  X") == "strasse x"
 
 
 def test_headings(spark):
@@ -84,6 +87,40 @@ def test_chunking(spark):
     assert sorted(r.metadata for r in numbered) == list(range(len(numbered))) and {r.source for r in numbered} == {""}
 
 
+def test_chinese_sentences():
+    sentences = ["船体外板厚度检验"] * 200
+    chunks = chunking.split("。".join(sentences))
+    assert len(chunks) > 3 and all(len(c) <= 512 and c.lstrip("。").split("。")[0] == sentences[0] and c.endswith(sentences[0]) for c in chunks)
+    mixed = chunking.split("甲" * 300 + "！" + "乙" * 300 + "？" + "丙" * 300 + "；" + "丁" * 300)
+    assert mixed == ["甲" * 300, "！" + "乙" * 300, "？" + "丙" * 300, "；" + "丁" * 300]
+    # each mark is a separator of its own: the one that comes first in the list is used, a finer one only within its parts
+    assert chunking.split("a；b。c" * 10, 12, 0)[0] == "a；b。ca；b"
+
+
+def test_separators_one_by_one():
+    """Against a plain re-statement of splitting by the first separator that occurs."""
+
+    def plain(text, size, separators):
+        first = next(i for i, s in enumerate(separators) if not s or s in text)
+        mark = separators[first]
+        parts = [p for p in ([text.split(mark)[0]] + [mark + p for p in text.split(mark)[1:]] if mark else list(text)) if p]
+        out, held = [], ""
+        for p in parts:
+            if len(p) >= size:
+                out, held = out + [held], ""
+                out += plain(p, size, separators[first + 1 :]) if separators[first + 1 :] else [p]
+            elif len(held) + len(p) > size:
+                out, held = out + [held], p
+            else:
+                held += p
+        return [c.strip() for c in [*out, held] if c.strip()]
+
+    rng = random.Random(5)
+    for _ in range(300):
+        text = "".join(rng.choice("船体板。！？；\n# ab") for _ in range(rng.randint(0, 120)))
+        assert chunking.split(text, 15, 0) == plain(text, 15, chunking.SEPARATORS)
+
+
 def test_batches_and_prompts(spark):
     total = spark.createDataFrame([(45,)], "total long")
     assert [(r.first, r.end) for r in extract.batches(total, 20).orderBy("first").collect()] == [(0, 20), (20, 40), (40, 45)]
@@ -98,8 +135,42 @@ def test_batches_and_prompts(spark):
 def test_extractors(spark):
     prompts = spark.createDataFrame([(1, "p"), (2, "q")], "chunk_id long, prompt string")
     stored = spark.createDataFrame([(1, "raw")], "chunk_id long, raw string")
-    assert {(r.chunk_id, r.raw, r.error) for r in extract.Replay(stored).extract(prompts).collect()} == {(1, "raw", None), (2, None, "no stored output")}
-    assert {r.error for r in extract.Http("", retries=0).extract(prompts).collect()} == {"no endpoint"}
+    assert {tuple(r) for r in extract.Replay(stored).extract(prompts).collect()} == {(1, "p", "raw", None), (2, "q", None, "no stored output")}
+    assert {(r.prompt, r.error) for r in extract.Http("", retries=0).extract(prompts).collect()} == {("p", "no endpoint"), ("q", "no endpoint")}
+
+
+def test_rule_reads_the_prompt(spark):
+    known = '[{"entity_name":"a"},{"entity_name":"b"},{"entity_name":"c"}]'
+    prompt = extract.render(extract.RELATION_PROMPT, entities=F.col("known"), chunk_id=F.col("chunk_id"), text=F.lit("t"))
+    asked = spark.createDataFrame([(1, known), (2, "[]"), (3, "none")], "chunk_id long, known string").select("chunk_id", prompt.alias("prompt"))
+    got = {r.chunk_id: (r.raw, r.error) for r in extract.Rule().extract(asked).collect()}
+    pair = '{"subject":"%s","relation":"co_occurs_with","object":"%s"}'
+    assert got[1] == ('{"triples":[' + pair % ("a", "b") + "," + pair % ("b", "c") + "]}", None)
+    assert got[2] == ('{"triples":[]}', None) and got[3] == (None, "no known entities")
+
+
+def test_http_asks_several_at_once(spark):
+    class Answer(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = self.rfile.read(int(self.headers["Content-Length"]))
+            self.send_response(500 if body == b"bad" else 200)
+            self.end_headers()
+            self.wfile.write(b"re: " + body)
+
+        def log_message(self, *_):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Answer)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    prompts = spark.createDataFrame([(i, "bad" if i == 3 else f"p{i}") for i in range(12)], "chunk_id long, prompt string")
+    got = {r.chunk_id: (r.raw, r.error) for r in extract.Http(f"http://127.0.0.1:{server.server_port}", retries=2, at_once=4).extract(prompts).collect()}
+    server.shutdown()
+    assert got[0] == ("re: p0", None) and got[11] == ("re: p11", None) and got[3][0] is None and "500" in got[3][1]
+
+
+def test_missing_ordinals(spark):
+    chunks = spark.createDataFrame([("a", 0, 5), ("b", 1, None), ("c", 2, None)], "chunk_content string, line long, metadata long")
+    assert {(r.chunk_content, r.metadata) for r in extract.with_ordinals(chunks, ["line"]).collect()} == {("a", 5), ("b", 1), ("c", 2)}
 
 
 def test_history(spark):

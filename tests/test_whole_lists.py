@@ -1,7 +1,9 @@
 import datetime
+import hashlib
 
 import pytest
 
+from keelgraph.operators import extract
 from keelgraph.plans import knowledge
 
 ENTITY = ("entity_id long, entity_name string, type array<string>, domain_relevance array<string>, summary string, chunk_ids array<long>, "
@@ -27,10 +29,11 @@ def test_build_reads_every_chunk_and_type(spark, folder):
 
 def test_pipeline_reads_every_chunk_and_type(spark, folder):
     got = {r.entity_name: r for r in knowledge.entity_pipeline(spark, folder).collect()}
-    assert set(got) == {"a"} and (got["a"].type, got["a"].domain_relevance, got["a"].chunk_ids) == ("x|y|z", "g|h", "3|4|25")
+    prompt = extract.ENTITY_PROMPT.replace("{chunk_id}", "3").replace("{text}", "text 3")
+    assert set(got) == {"a"} and got["a"].first_prompt == hashlib.md5(prompt.encode()).hexdigest() and (got["a"].type, got["a"].domain_relevance, got["a"].chunk_ids) == ("x|y|z", "g|h", "3|4|25")
 
 
 def test_outputs_hold_every_mention(spark, folder):
-    assert {tuple(r) for r in knowledge.joint_pipeline(spark, folder).collect()} == {("3", 2, 0), ("4", 4, 1), ("25", 2, 0)}
+    assert {(r.chunk_id, r.entities, r.triples) for r in knowledge.joint_pipeline(spark, folder).collect()} == {("3", 2, 0), ("4", 4, 1), ("25", 2, 0)}
     assert sorted((r.chunk_id, r.type, r.domain_relevance) for r in knowledge.llm_parse_entities(spark, folder).collect()) == [
         ("1", "x", "g"), ("1", "y", "g"), ("2", "z", "g"), ("2", "z", "h"), ("4", "x", "g")]
