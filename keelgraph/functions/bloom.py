@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: The filter never gets larger than this many bits (32 MB), whatever the number of keys.
-MAX_BITS = 1 << 28
+#: The filter never gets larger than this many bits (64 MB), enough for some 50 million keys; with more it refuses fewer.
+MAX_BITS = 1 << 29
 PROBES = 5
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from keelgraph.functions.bloom import bloom_filter
 from keelgraph.functions.lookalike import look_key
+from keelgraph.session import durable
 
 
 def orphan_references(children: DataFrame, parents: DataFrame, child_id: str, fields: list[str], parent_name: str) -> DataFrame:
@@ -16,16 +17,17 @@ def orphan_references(children: DataFrame, parents: DataFrame, child_id: str, fi
     not deleted by then (parents.loaded_at, parents.deleted_at, children.loaded_at). Reasons: `missing`, nothing matches;
     `late`, a match is loaded after the child; else `deleted`. `month` is the month of the child's load.
 
-    A broadcast Bloom filter of the parents' names proves most missing references; only what passes it is joined. Of each
-    name the join carries five times, from which nearly every reference is decided; the others, between the first and the
-    last end of a deleted record, are held against those records month by month. So no name's records are ever gathered.
+    A broadcast Bloom filter of the parents' names proves references missing; these go to the result as they are, and only
+    what passes the filter is joined. Of each name the join carries five times, from which nearly every reference is decided;
+    the others, between the first and the last end of a deleted record, are held against those records month by month. So
+    no name's records are ever gathered, and a name of a third of all references has one row on the other side of the join.
 
     Null and empty references are no cases; null and empty parent names match nothing. A child with a null loaded_at has
     no standing record: `missing` or `deleted`. A parent with a null loaded_at never stands. Repeated rows are reported
     each. Other columns of either table are not read.
     """
-    records = parents.select(F.col(parent_name).alias("name"), "loaded_at", "deleted_at").where("name <> ''").withColumn("key", look_key("name"))
-    passes = bloom_filter(records, "key")
+    named = parents.select(F.col(parent_name).alias("name"), "loaded_at", "deleted_at").where("name <> ''")
+    records = durable(named.select(look_key("name").alias("key"), "loaded_at", "deleted_at"))
     closed = "loaded_at < deleted_at"
     known = records.groupBy("key").agg(
         F.max("loaded_at").alias("last_loaded"),
@@ -38,11 +40,12 @@ def orphan_references(children: DataFrame, parents: DataFrame, child_id: str, fi
         children.select(F.col(child_id).alias("id"), F.col("loaded_at").alias("at"),
                         F.explode(F.array(*[F.struct(F.lit(f).alias("endpoint"), F.col(f).alias("name")) for f in fields])).alias("r"))
         .select("id", "at", "r.*").where("name <> ''")
-        .withColumn("key", look_key("name")).withColumn("may", passes(F.col("key")))
-        # what the filter refuses matches nothing; a key of its own spreads it over the partitions
-        .withColumn("key", F.expr("CASE WHEN may THEN key ELSE concat('\\u0000', id, endpoint) END"))
+        # generated, so that a filter on the key isn't moved before it with a second evaluation of the key
+        .select("*", F.explode(F.array(look_key("name"))).alias("key"))
     )
-    joined = references.join(known, "key", "left").where("open_from IS NULL OR at IS NULL OR at < open_from")
+    passes = bloom_filter(known, "key")
+    refused, asked = references.where(~passes(F.col("key"))), references.where(passes(F.col("key")))
+    joined = asked.join(known, "key", "left").where("open_from IS NULL OR at IS NULL OR at < open_from")
     between = F.expr("known AND at >= first_start AND at < last_end")
     # One pass over the join: a row that must be held against the deleted records carries its month, any other none.
     judged = joined.withColumn("slot", F.when(between, _month("at")))
@@ -55,8 +58,8 @@ def orphan_references(children: DataFrame, parents: DataFrame, child_id: str, fi
     right = spans.select(F.col("key").alias("k"), F.col("slot").alias("s"), "start", "end")
     standing = (left.span_key == right.k) & (left.slot == right.s) & (left["at"] >= right.start) & (left["at"] < right.end)
     reason = F.expr("CASE WHEN known IS NULL THEN 'missing' WHEN last_loaded > at THEN 'late' ELSE 'deleted' END")
-    return left.join(right, standing, "left_anti").select(
-        F.col("id").alias(child_id), "endpoint", "name", reason.alias("reason"), F.date_format("at", "yyyy-MM").alias("month"))
+    result = lambda rows, why: rows.select(F.col("id").alias(child_id), "endpoint", "name", why.alias("reason"), F.date_format("at", "yyyy-MM").alias("month"))
+    return result(refused, F.lit("missing")).unionAll(result(left.join(right, standing, "left_anti"), reason))
 
 
 def _month(column: str):
