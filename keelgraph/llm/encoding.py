@@ -10,14 +10,15 @@ side, since no merge can cross such a place; that leaves few distinct parts, mos
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,11 +34,10 @@ _NONE = 1 << 62
 
 
 class ByteBpe:
-    """The ids of byte strings under the merge ranks of a .tiktoken file."""
+    """The ids of byte strings under the merge ranks that a .tiktoken file holds."""
 
-    def __init__(self, path: str) -> None:
-        with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    def __init__(self, content: bytes) -> None:
+        self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, content.splitlines())}
         self.token = {rank: token for token, rank in self.ranks.items()}
         self.byte = [self.ranks[bytes([b])] for b in range(256)]
         self.side_by_side = {t[i : i + 2] for t in self.ranks for i in range(len(t) - 1)}
@@ -127,8 +127,8 @@ class ByteBpe:
 class Encoder:
     """Encodes lists of texts; keeps the ids of the pieces it has met in one growing array."""
 
-    def __init__(self, path: str) -> None:
-        self.bpe, self.find = ByteBpe(path), regex.compile(PATTERN).findall
+    def __init__(self, content: bytes) -> None:
+        self.bpe, self.find = ByteBpe(content), regex.compile(PATTERN).findall
         self._forget()
 
     def _forget(self) -> None:
@@ -173,10 +173,17 @@ class Encoder:
         return np.diff(np.concatenate([[0], ends[np.cumsum(counts)]]))
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+#: The encoders of a Python worker by their vocabulary's digest.
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(shipped: tuple[str, bytes]) -> Encoder:
     """One per Python worker and vocabulary."""
-    return Encoder(path)
+    digest, content = shipped
+    if digest not in _encoders:
+        _encoders.clear()
+        _encoders[digest] = Encoder(content)
+    return _encoders[digest]
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
@@ -193,6 +200,13 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
         yield start, held
 
 
+def ship(spark: SparkSession, path: str | None = None) -> Broadcast:
+    """A vocabulary file, read on the driver alone and sent to the executors, with its digest; some 0.6 MB."""
+    with open(path or vocabulary(), "rb") as file:
+        content = file.read()
+    return spark.sparkContext.broadcast((hashlib.sha256(content).hexdigest(), content))
+
+
 def vocabulary(name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> str:
     return f"{folder}/{name}.tiktoken"
 
@@ -203,12 +217,12 @@ def encode(df: DataFrame, key: str, text: str, path: str | None = None) -> DataF
     Null and empty texts give the empty list, strings that look like special tokens are ordinary text. Repeated rows are
     encoded each; other columns are not read. Texts of any length are encoded whole.
     """
-    path = path or vocabulary()
+    shipped = ship(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in _slices(batch.column(1)):
-                ids, offsets = encoder(path).encode(texts)
+                ids, offsets = encoder(shipped.value).encode(texts)
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), lists], ["key", "ids"])
 
@@ -217,13 +231,13 @@ def encode(df: DataFrame, key: str, text: str, path: str | None = None) -> DataF
     return spread(df.select(key, text)).mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
-def token_length(path: str | None = None):
+def token_length(spark: SparkSession, path: str | None = None):
     """A function Column -> Column: the number of tokens of a text, 0 for null and empty ones."""
-    path = path or vocabulary()
+    shipped = ship(spark, path)
 
     @F.pandas_udf(T.LongType())
     def lengths(texts: pd.Series) -> pd.Series:
-        out = [encoder(path).lengths(held) for _, held in _slices(pa.array(texts, pa.string(), from_pandas=True))]
+        out = [encoder(shipped.value).lengths(held) for _, held in _slices(pa.array(texts, pa.string(), from_pandas=True))]
         return pd.Series(np.concatenate(out) if out else np.zeros(0, np.int64))
 
     return lengths

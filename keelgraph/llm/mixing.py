@@ -89,7 +89,7 @@ def seeded_rank(df: DataFrame, group: list[str], unique: str, seed: int, rank: s
 def sized(documents: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, source, tokens) of the documents with any token, kept so that no text is encoded twice."""
     # Filtered only after it is kept: else the filter would have every text encoded a second time.
-    return durable(spread(documents.select("doc_id", "source", "text")).select("doc_id", "source", token_length(path)("text").alias("tokens"))).where("tokens > 0")
+    return durable(spread(documents.select("doc_id", "source", "text")).select("doc_id", "source", token_length(documents.sparkSession, path)("text").alias("tokens"))).where("tokens > 0")
 
 
 def plan(sizes: DataFrame, targets: DataFrame, total: int | None = None, seed: int = 0) -> DataFrame:
@@ -99,7 +99,7 @@ def plan(sizes: DataFrame, targets: DataFrame, total: int | None = None, seed: i
     in the mix; the others keep the proportions of their shares.
     """
     listed = _listed(targets)
-    counts = sizes.groupBy("source", "tokens").agg(F.count("*").alias("documents")).join(F.broadcast(listed), "source")
+    counts = sizes.groupBy("source", "tokens").agg(F.count("*").alias("documents")).join(listed, "source")
     supply = counts.groupBy("source", "target_share").agg(F.sum(F.col("tokens") * F.col("documents") * F.col("max_repeats")).alias("supply"))
     # one row per source of the list
     ends = supply.agg(F.sum("target_share").alias("shares"), F.min(F.col("supply") / F.col("target_share")).alias("most")).first()

@@ -15,9 +15,11 @@ from keelgraph.session import spread
 
 LIMIT, OVERLAP = 512, 50
 
+#: An image of any length; neither part is sought past the next one's beginning, so that images left open cost no more.
+_IMAGE = r"!\[[^\[\]\n]*+\]\([^()\n]*+(?:\([^()\n]*+\)[^()\n]*+)*+\)"
 #: What should stay in one piece: display and inline formulas, tables, images.
-_WHOLE = regex.compile(r"\$\$.*?\$\$|\$[^$\n]+\$|<table\b.*?</table>|!\[[^\]\n]{0,200}\]\([^)\n]{0,500}\)", regex.DOTALL | regex.IGNORECASE)
-_NO_TABLE = regex.compile(r"\$\$.*?\$\$|\$[^$\n]+\$|!\[[^\]\n]{0,200}\]\([^)\n]{0,500}\)", regex.DOTALL)
+_WHOLE = regex.compile(rf"\$\$.*?\$\$|\$[^$\n]+\$|<table\b.*?</table>|{_IMAGE}", regex.DOTALL | regex.IGNORECASE)
+_NO_TABLE = regex.compile(rf"\$\$.*?\$\$|\$[^$\n]+\$|{_IMAGE}", regex.DOTALL)
 _TABLE_END = regex.compile("</table>", regex.IGNORECASE)
 #: Boundaries, each after the match; the group that matched gives the strength.
 _BOUNDARY = regex.compile(
@@ -62,6 +64,15 @@ def _joined(text: str, k: int) -> bool:
     return unicodedata.combining(text[k]) > 0 or text[k] in "‍︎️" or text[k - 1] == "‍" or text[k - 1 : k + 1] == "\r\n"
 
 
+def _bare(text: str, a: int, b: int, middle: int) -> int:
+    """The place nearest to the middle where a cut parts no character from its marks; the middle where there is none at all."""
+    for away in range(b - a):
+        for k in (middle + away, middle - away):
+            if a < k < b and not _joined(text, k):
+                return k
+    return middle
+
+
 def cuts(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, int]]:
     """(start, repeated, end) of each piece: text[start - repeated : end] is the piece, text[start:end] what it adds."""
     if len(text) <= limit:
@@ -80,7 +91,7 @@ def cuts(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[in
         elif beyond := [i for i in (bisect_left(at, middle) - 1, bisect_left(at, middle)) if 0 <= i < len(at) and a < at[i] < b]:
             k = at[min(beyond, key=lambda i: (abs(at[i] - middle), -strength[i]))]
         else:
-            k = next((k for k in range(middle, min(middle + 16, b)) if not _joined(text, k)), middle)
+            k = _bare(text, a, b, middle)
         stack += [(k, b), (a, k)]
     pieces, start = [], 0
     for end in ends:
@@ -98,8 +109,9 @@ def split_oversized(df: DataFrame, key: str, text: str, limit: int = LIMIT, over
     """(key, piece, pieces, start, repeated, text): the pieces of every text, at most `limit` code points each, in order.
 
     A text within the limit is one piece. A longer one is cut at the strongest boundary near its middle, or else the
-    nearest anywhere in it, at a bare character only where it has none, and each half again while it exceeds limit - overlap; then each piece but the first is given up to `overlap` characters of the end
-    of the one before it, from a natural boundary if one lies there. Without the repeated characters the pieces are the
+    nearest anywhere in it, at a bare character only where it has none, and each half again while it exceeds
+    limit - overlap; then each piece but the first is given up to `overlap` characters of the end of the one before it, from a
+    natural boundary if one lies there. Without the repeated characters the pieces are the
     text. A null text gives no row, an empty one an empty piece; repeated rows are split each. Other columns aren't read.
     """
     kind = df.schema[key].dataType

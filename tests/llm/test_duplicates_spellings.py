@@ -2,6 +2,7 @@ from datetime import datetime as dt
 from itertools import product
 
 from keelgraph.llm.duplicates import _score, best_choice, duplicate_pairs, group_records, name_key, slips, survivors
+from keelgraph.llm.forms import fold
 from keelgraph.llm.spellings import consistent_forms, same_looking
 
 
@@ -90,5 +91,8 @@ def test_same_looking(spark):
     looks = [n for n in ("AB1", "ＡＢ１", "A​B1", "АB1")]
     assert pairs == {(a, b) for a in looks for b in looks if a < b} | {tuple(sorted(("加工", "加エ")))}
     assert same_looking(df.limit(0), "name").count() == 0
+    hidden = ["\u200b" * (i + 1) for i in range(1201)]  # nothing visible: one class, cut into parts
+    assert same_looking(spark.createDataFrame([(h,) for h in hidden], "name string"), "name").count() == 1201 * 1200 // 2
+    assert fold("ＡⅣ²") == "aiv2" and fold("Straße  X") == "strasse x"
     forms = {r.name: (r.form, r.shown) for r in consistent_forms(df, "name").collect()}
     assert forms["ＡＢ１"] == ("ab1", "AB1") and forms["m²"] == ("m2", "m²") and forms[""] == ("", "") and None not in forms

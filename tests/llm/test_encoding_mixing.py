@@ -9,11 +9,30 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from keelgraph.llm.encoding import PATTERN, encode, encoder, token_length, vocabulary
-from keelgraph.llm.mixing import fit_budget, mix, mix_report, plan, sized
+from keelgraph.llm.mixing import fit_budget, mix, mix_report, plan, seeded_rank, sized
 
 pytestmark = pytest.mark.skipif(not os.path.exists(vocabulary()), reason="no vocabulary")
 
 
+def local():
+    with open(vocabulary(), "rb") as file:
+        return encoder(("test", file.read()))
+
+
+def test_seeded_ranks(spark):
+    df = spark.range(500).withColumn("g", F.when(F.col("id") > 4, F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7))))
+    ranks = {}
+    for r in seeded_rank(df, ["g"], "id", 1).collect():
+        ranks.setdefault(r.g, []).append(r["rank"])
+    assert all(sorted(x) == list(range(len(x))) for x in ranks.values()) and len(ranks[None]) == 5
+    assert seeded_rank(df.limit(0), ["g"], "id", 1).count() == 0
+
+
+def test_budget_beyond_the_window():
+    used = fit_budget(np.array([1_000_000, 5_000_000]), np.array([0, 3]), 4_000_000, window=100)
+    assert used.tolist() == [0, 0]
+
+
 @pytest.fixture(scope="module")
 def peer():
     tiktoken = pytest.importorskip("tiktoken")
@@ -25,7 +44,7 @@ def peer():
 @settings(max_examples=300, deadline=None)
 @given(text=st.text(max_size=200))
 def test_any_text(text, peer):
-    ids, offsets = encoder(vocabulary()).encode([text, None, "", text])
+    ids, offsets = local().encode([text, None, "", text])
     assert offsets.tolist() == [0, len(ids) // 2, len(ids) // 2, len(ids) // 2, len(ids)]
     assert ids[: offsets[1]].tolist() == peer.encode_ordinary(text)
     assert peer.decode(ids[: offsets[1]].tolist()) == text
@@ -34,7 +53,7 @@ def test_any_text(text, peer):
 def test_long_pieces(peer):
     random.seed(0)
     for text in ("a" * 30_000, "".join(random.choice("abcdefghij") for _ in range(20_000)), "船体" * 5_000, "<|endoftext|>", "é" * 999):
-        ids, _ = encoder(vocabulary()).encode([text])
+        ids, _ = local().encode([text])
         assert ids.tolist() == peer.encode_ordinary(text)
 
 
@@ -44,7 +63,7 @@ def test_table(spark, peer):
     got = encode(df, "doc_id", "text").collect()
     assert sorted((r.doc_id, r.ids) for r in got) == sorted((k, peer.encode_ordinary(t or "")) for k, t, _ in rows)
     assert encode(df.limit(0), "doc_id", "text").count() == 0
-    assert {r.doc_id: r.n for r in df.select("doc_id", token_length()("text").alias("n")).collect()} == {k: len(peer.encode_ordinary(t or "")) for k, t, _ in rows}
+    assert {r.doc_id: r.n for r in df.select("doc_id", token_length(spark)("text").alias("n")).collect()} == {k: len(peer.encode_ordinary(t or "")) for k, t, _ in rows}
 
 
 def test_fit_budget():
