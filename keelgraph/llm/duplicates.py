@@ -169,14 +169,14 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def _rests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, rest): hashes of a key and of what is left of it without one character that is no number or code.
+    """(id, rest) of keys (id, key): hashes of a key and of what is left of it without one character that is no number or code.
 
     The hash is the sum of each character times the base to the power of its place, so that all are had from one running sum
     over a batch. Doubled characters leave the same rest and are told once.
     """
     for batch in batches:
-        keys = batch.column(0)
-        texts = keys.to_pylist()
+        ids = batch.column(0)
+        texts = batch.column(1).to_pylist()
         if not texts:
             continue
         length = np.array([len(t) for t in texts], np.int64)
@@ -193,16 +193,28 @@ def _rests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free[1:] &= ~((without[1:] == without[:-1]) & (owner[1:] == owner[:-1]))
         index = np.concatenate([owner[free], np.arange(len(texts))])
         rests = np.concatenate([without[free], total]).view(np.int64)
-        yield pa.RecordBatch.from_arrays([keys.take(pa.array(index)), pa.array(rests)], ["key", "rest"])
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(index)), pa.array(rests)], ["id", "rest"])
+
+
+#: Keys of one rest that one task pairs with the others of the rest; more are cut into parts.
+REST_PART = 200
 
 
 def _pairs(keys: DataFrame) -> DataFrame:
-    """(a, b), a < b: keys that are equal after at most one deletion each, of a character that is no number or code."""
-    near = keys.select("key").mapInArrow(_rests, "key string, rest long")
-    shared = near.groupBy("rest").agg(F.count("*").alias("n")).where("n > 1").select("rest")
-    near = near.join(shared, "rest", "left_semi")
-    other = near.select("rest", F.col("key").alias("b"))
-    return near.withColumnRenamed("key", "a").join(other, "rest").where("a < b").select("a", "b").distinct()
+    """(a, b): keys that are equal after at most one deletion each, of a character that is no number or code, each pair once.
+
+    Only hashes travel until the pairs are known. Keys that share a rest may be as many as the alphabet has letters for
+    every place; a rest of many keys is cut into parts, each of which meets all of them.
+    """
+    hashed = keys.select(F.xxhash64("key").alias("id"), "key")
+    near = hashed.mapInArrow(_rests, "id long, rest long")
+    shared = near.groupBy("rest").agg(F.count("*").alias("n")).where("n > 1").select("rest", F.ceil(F.col("n") / REST_PART).cast("int").alias("parts"))
+    near = near.join(shared, "rest")
+    one = near.select("rest", F.col("id").alias("a"), F.pmod(F.hash("id"), "parts").alias("part"))
+    other = near.select("rest", F.col("id").alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    pairs = one.join(other, ["rest", "part"]).where("a < b").select("a", "b").distinct()
+    text = lambda c: hashed.select(F.col("id").alias(c), F.col("key").alias(f"key_{c}"))
+    return pairs.join(text("a"), "a").join(text("b"), "b").select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
 
 
 _TOLD = "key string, parent string, kind string, short boolean, way int, made string, spoilt string"
@@ -284,122 +296,165 @@ def _roots(best: DataFrame) -> DataFrame:
     return best.join(ends, "root", "left").select("key", F.coalesce("end", "root").alias("root"))
 
 
-def group_records(records: DataFrame, key: str, name: str) -> DataFrame:
-    """(key, root, first, slipped): each record with the key of its thing and the thing's smallest record key.
+#: Columns of a record that the choice of a survivor reads, with those of its name and key.
+READ = ("type", "domain_relevance", "summary", "chunk_ids", "origin", "deleted_at", "extracted_at")
 
-    `slipped` tells whether the record's name is a slip of the thing's.
-
-    A record with a null or empty name is a thing of its own (root null). Repeated names are compared once, so a name that
-    holds a third of the rows costs no more than another; names are compared only with those one deletion away, and with those
-    that become the same, unstored name when a doubled or known mistaken character is put right in each.
-    """
-    keyed = durable(spread(records.select(key, name)).select(key, name_keys(F.when(F.col(name) != "", F.col(name))).alias("name_key")))
-    leading = _leading(keyed.select(F.col("name_key").alias("key")).where("key <> ''").distinct())
-    rooted = keyed.join(leading.withColumnRenamed("key", "name_key"), "name_key", "left").select(
-        key, F.coalesce("root", "name_key").alias("root"), (F.col("root") != F.col("name_key")).alias("slipped"))
-    first = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min(key).alias("first"))
-    return rooted.join(first, "root", "left").select(key, "root", F.coalesce("first", key).alias("first"), F.coalesce("slipped", F.lit(False)).alias("slipped"))
 
+def rooted_records(records: DataFrame, key: str, name: str) -> DataFrame:
+    """records (key, name and those columns of READ that it has) with the key of its thing, `root`, and whether its name is a
+    slip of the thing's, `slipped`.
 
-def duplicate_pairs(groups: DataFrame, key: str) -> DataFrame:
-    """(key_a, key_b): the smallest record key of each thing with every other."""
-    return groups.where(F.col(key) != F.col("first")).select(F.col("first").alias(f"{key}_a"), F.col(key).alias(f"{key}_b"))
+    A record with a null or empty name is a thing of its own. Repeated names are compared once, so a name that holds a third
+    of the rows costs no more than another; names are compared only with those one deletion away, and with those that
+    become the same, unstored name when a doubled or known mistaken character is put right in each.
+    """
+    own = [c for c in (key, name, *READ) if c in records.columns]
+    keyed = durable(spread(records.select(*own)).select(*own, name_keys(F.when(F.col(name) != "", F.col(name))).alias("name_key")))
+    leading = durable(_leading(keyed.select(F.col("name_key").alias("key")).where("key <> ''").distinct()))
+    return keyed.join(leading.withColumnRenamed("key", "name_key"), "name_key", "left").select(
+        *own, F.coalesce("root", "name_key", F.concat(F.lit("\u0000"), F.col(key).cast("string"))).alias("root"), (F.coalesce("root", "name_key") != F.col("name_key")).alias("slipped"))
 
 
 # --- the survivor -----------------------------------------------------------------------------------------------------
 
-# Trust in what made a record.
-TRUST = {"manual": 5.0, "import_csv": 3.0, "rule": 2.0, "model_a": 1.5, "model_b": 1.0}
-#: Trust in any other origin, and the share left to a deleted record.
-OTHER_TRUST, DELETED = 0.5, 0.25
 # Texts that stand for none.
-PLACEHOLDERS = ("", "信息待补充", "待补充", "暂无", "无", "未知", "unknown", "n/a", "na", "none", "null", "tbd", "todo", "-", "—", "?")
-#: A summary that says no more than that the text mentions something of a type.
-_MENTIONED = r"^原文中提及的.{0,8}$"
+PLACEHOLDERS = ("", "信息待补充", "待补充", "暂无", "无", "未知", "unknown", "n/a", "none", "null", "tbd", "-", "?")
+#: The share of its trust that is left to a deleted record, to a slip of a name, and to a summary that was cut.
+DELETED, SLIPPED, CUT = 0.25, 0.1, 0.5
 #: Characters from which on a summary counts as complete.
 COMPLETE = 40
 
+_BUNDLES = ("name", "class", "passage")
+_VALUES = ("name", "type", "relevance", "summary", "chunks")
+
 
 def _language(text):
     return F.when(text.rlike(r"\p{IsHan}"), "zh").when(text.rlike(r"\p{IsLatin}"), "en")
 
 
-def _candidates(valued: DataFrame, value: str, signature: list, score) -> DataFrame:
-    """The most trusted value of every group and signature.
+def _clean(rooted: DataFrame) -> DataFrame:
+    """Records with placeholders as nothing, and lists as sorted sets."""
+    text = lambda c: F.when(~F.lower(F.trim(c)).isin(*PLACEHOLDERS), F.col(c))
+    items = lambda c: F.array_sort(F.array_distinct(F.filter(c, lambda x: x.isNotNull() & ~F.lower(F.trim(x.cast("string"))).isin(*PLACEHOLDERS))))
+    filled = lambda c: F.when(F.size(c) > 0, c)
+    return rooted.select(
+        "entity_id", "root", "slipped", "origin", "deleted_at", "extracted_at", F.when(F.col("entity_name") != "", F.col("entity_name")).alias("name"), text("summary").alias("summary"),
+        filled(items("type")).alias("type"), filled(items("domain_relevance")).alias("relevance"), filled(items("chunk_ids")).alias("chunks"))
+
+
+def origin_trust(clean: DataFrame) -> DataFrame:
+    """(origin, trust): of the bundles that records of an origin fill, the share that another record of the thing has, too.
 
-    Of values with one signature the constraints treat all alike, so that only the most trusted can be in a best choice:
-    however many records a group has, a handful of its values is left, by partial aggregation.
+    What several records say independently is likelier right, so an origin is trusted as its values are confirmed. Only
+    hashes of things and values travel.
     """
-    votes = valued.groupBy("root", value, *signature).agg(F.sum("trust").alias("trust"), F.max("extracted_at").alias("at"))
-    votes = votes.withColumn("score", score)
-    return votes.groupBy("root", *signature).agg(F.max_by(F.struct("score", value), F.struct("score", "at", value)).alias("best"))
+    value = lambda *c: F.when(F.coalesce(*[F.col(x).isNotNull() for x in c[:1]]), F.xxhash64("root", F.lit(c[0]), *c))
+    held = clean.select("origin", F.explode(F.array(value("name"), value("type", "relevance"), value("summary", "chunks"))).alias("value")).where("value IS NOT NULL")
+    counted = held.groupBy("value", "origin").agg(F.count("*").alias("n"))
+    together = counted.groupBy("value").agg(F.sum("n").alias("all"), F.collect_list(F.struct("origin", "n")).alias("of"))
+    each = together.select("all", F.inline("of"))
+    return each.groupBy("origin").agg(((F.sum(F.when(F.col("all") > 1, F.col("n")).otherwise(0)) + 1) / (F.sum("n") + 2)).alias("trust"))
 
 
-def survivors(records: DataFrame, groups: DataFrame) -> DataFrame:
-    """One record per thing: (entity_id, entity_name, type, domain_relevance, summary, chunk_ids, trust, records).
+def _votes(clean: DataFrame) -> DataFrame:
+    """(root, bundle, values, score, at): every bundle that some record of a thing holds, with the trust in all that hold it.
 
-    Dependent fields are bundles that are taken whole: the name; type with domain_relevance; summary with chunk_ids, the
-    chunks it was written from. A bundle's trust is that of the records holding it, by origin and deletion, weighed by its
-    completeness: placeholders count as missing, cut summaries half, and a name that is a slip of the thing's a tenth. Branch
-    and bound chooses the bundles of most trust together under two dependencies: the name decides the summary's language,
-    and a relevance of `domain_specific` needs something to rest on, a type or a passage with chunks. If no choice meets
-    them, the dependencies give way, the second first. Records without a name survive as they are; fields that no record
-    fills are null. Repeated rows count as records each; other columns aren't read.
+    A bundle's score is the trust of its records' origins, weighed by completeness: a cut summary, a short one, one without
+    chunks, and one that stands with several things and so tells little of either, count less; so do chunks without a
+    summary, a relevance without a type, a name that is a slip or written with look-alike characters, and deleted records.
     """
-    trust = F.coalesce(F.create_map(*[F.lit(x) for kv in TRUST.items() for x in kv])[F.col("origin")], F.lit(OTHER_TRUST))
-    trust = trust * F.when(F.col("deleted_at").isNull(), 1.0).otherwise(DELETED)
-    clean = lambda c: F.when(~F.lower(F.trim(c)).isin(*PLACEHOLDERS) & ~F.col(c).rlike(_MENTIONED), F.col(c))
-    items = lambda c: F.array_distinct(F.filter(c, lambda x: x.isNotNull() & ~F.lower(F.trim(x.cast("string"))).isin(*PLACEHOLDERS)))
-    rows = (
-        records.select("entity_id", "entity_name", "origin", "deleted_at", "extracted_at", clean("summary").alias("summary"),
-                       items("type").alias("type"), items("domain_relevance").alias("domain_relevance"), items("chunk_ids").alias("chunk_ids"))
-        .withColumn("trust", trust).join(groups.withColumnRenamed("root", "name_root"), "entity_id")
-        .withColumn("root", F.coalesce("name_root", F.concat(F.lit("\u0000"), "entity_id")))
-    )
-    filled = lambda c: F.coalesce(F.size(c), F.lit(0)) > 0
-    names = rows.where("entity_name IS NOT NULL").withColumn("language", _language(F.col("entity_name")))
-    plain = F.when(look_key("entity_name") == F.col("entity_name"), 1.0).otherwise(0.8)
-    names = names.withColumn("trust", F.col("trust") * plain * F.when(F.col("slipped"), 0.1).otherwise(1.0))
-    names = _candidates(names, "entity_name", ["language"], F.col("trust"))
-    classes = rows.where(filled("type") | filled("domain_relevance")).withColumn("class", F.struct("type", "domain_relevance"))
-    classes = classes.withColumn("typed", filled("type")).withColumn("specific", F.coalesce(F.array_contains("domain_relevance", "domain_specific"), F.lit(False)))
-    classes = _candidates(classes, "class", ["typed", "specific"], F.col("trust") * (F.when(F.col("typed"), 1.0).otherwise(0.3)))
-    passages = rows.where(F.col("summary").isNotNull() | filled("chunk_ids")).withColumn("passage", F.struct("summary", "chunk_ids"))
-    passages = passages.withColumn("language", _language(F.col("summary"))).withColumn("cited", filled("chunk_ids"))
-    complete = F.when(F.col("passage.summary").isNotNull(), F.log2(F.least(F.length("passage.summary"), F.lit(COMPLETE)) + 2) * F.when(F.col("passage.summary").rlike(r"(\.\.\.|…)$"), 0.5).otherwise(1.0)).otherwise(1.0) * F.when(F.col("cited"), 1.0).otherwise(0.5)
-    passages = _candidates(passages, "passage", ["language", "cited"], F.col("trust") * complete)
-    listed = lambda df, sig: df.groupBy("root").agg(F.collect_list(F.struct(*sig, "best")).alias("of"))
-    whole = rows.groupBy("root").agg(F.min("first").alias("entity_id"), F.count("*").alias("records"))
-    for name, df, sig in (("names", names, ["language"]), ("classes", classes, ["typed", "specific"]), ("passages", passages, ["language", "cited"])):
-        whole = whole.join(listed(df, sig).withColumnRenamed("of", name), "root", "left")
-    schema = "entity_id long, entity_name string, type array<string>, domain_relevance array<string>, summary string, chunk_ids array<long>, trust double, records long"
-    return whole.select("entity_id", "records", "names", "classes", "passages").mapInPandas(_choose, schema)
+    # kept, so that their sizes are known when they are joined: small ones are broadcast by Spark, and no origin is a partition's key
+    shared = durable(clean.where("summary IS NOT NULL").groupBy(F.xxhash64("summary").alias("said")).agg(F.approx_count_distinct("root").alias("things")).where("things > 1"))
+    trusted = durable(origin_trust(clean)).select(F.col("origin").alias("o"), "trust")
+    known = clean.join(trusted, F.col("origin").eqNullSafe(F.col("o"))).withColumn("said", F.xxhash64("summary")).join(shared, "said", "left")
+    trust = F.col("trust") * F.when(F.col("deleted_at").isNull(), 1.0).otherwise(DELETED)
+    plain = F.when(look_key("name") == F.col("name"), 1.0).otherwise(0.8) * F.when(F.col("slipped"), SLIPPED).otherwise(1.0)
+    whole = F.log2(F.least(F.length("summary"), F.lit(COMPLETE)) + 2) * F.when(F.col("summary").rlike(r"(\.\.\.|…)$"), CUT).otherwise(1.0) / F.coalesce("things", F.lit(1))
+    passage = F.when(F.col("summary").isNotNull(), whole).otherwise(1.0) * F.when(F.col("chunks").isNotNull(), 1.0).otherwise(0.5)
+    kinds = {"name": "string", "type": "array<string>", "relevance": "array<string>", "summary": "string", "chunks": "array<bigint>"}
+
+    def bundle(kind: str, score, *has: str):
+        values = [(F.col(c) if c in has else F.lit(None).cast(kinds[c])).alias(c) for c in _VALUES]
+        return F.when(F.coalesce(*[F.when(F.col(c).isNotNull(), True) for c in (has[:1] if kind == "name" else has)]), F.struct(F.lit(kind).alias("bundle"), *values, (trust * score).alias("score")))
+
+    held = F.array_compact(F.array(bundle("name", plain, "name", "type"), bundle("class", F.when(F.col("type").isNotNull(), 1.0).otherwise(0.3), "type", "relevance"), bundle("passage", passage, "summary", "chunks")))
+    cast = known.select("root", F.col("extracted_at").alias("at"), F.explode(held).alias("b")).select("root", "at", "b.*")
+    return cast.groupBy("root", "bundle", *_VALUES).agg(F.sum("score").alias("score"), F.max("at").alias("at"))
+
+
+def _consistent(votes: DataFrame) -> DataFrame:
+    """(root, bundle, values, score): the bundles that the dependencies within them leave.
+
+    Functional dependencies: a type determines the relevance, a summary its chunks, a name the type of the thing it names.
+    Of a determinant's values the most trusted stands, the latest of equals. The score of a name is that of all records with it.
+    """
+    determinant = [F.when(F.col("bundle") == b, F.col(c)).alias(f"by_{c}") for b, c in zip(_BUNDLES, ("name", "type", "summary"))]
+    # a name's own type is sought among the records that have one
+    order = F.struct(F.when((F.col("bundle") == "name") & F.col("type").isNull(), 0).otherwise(1), F.col("score"), F.col("at"), F.to_json(F.struct("relevance", "chunks", "type")))
+    best = votes.groupBy("root", "bundle", *determinant).agg(F.max_by(F.struct(*_VALUES), order).alias("v"), F.sum("score").alias("all"), F.max("score").alias("most"))
+    return best.select("root", "bundle", "v.*", F.when(F.col("bundle") == "name", F.col("all")).otherwise(F.col("most")).alias("score"))
+
+
+def _candidates(consistent: DataFrame) -> DataFrame:
+    """(root, names, classes, passages): of the bundles that the dependencies between bundles treat alike the most trusted.
+
+    Those are names with one language and one type, and passages with one language; a class has a type of its own. So
+    however many records a thing has, what is gathered of it is bounded by the languages and the sets of types.
+    """
+    language = F.when(F.col("bundle") == "name", _language(F.col("name"))).when(F.col("bundle") == "passage", _language(F.col("summary")))
+    signed = consistent.withColumn("language", language).withColumn("sign", F.when(F.col("bundle") != "passage", F.col("type")))
+    best = signed.groupBy("root", "bundle", "language", "sign").agg(F.max_by(F.struct("score", "language", *_VALUES), F.struct(F.col("score"), F.to_json(F.struct(*_VALUES)))).alias("best"))
+    of = lambda b: F.collect_list(F.when(F.col("bundle") == b, F.col("best")))
+    return best.groupBy("root").agg(of("name").alias("names"), of("class").alias("classes"), of("passage").alias("passages"))
+
+
+_CHOSEN = "entity_name string, type array<string>, domain_relevance array<string>, summary string, chunk_ids array<long>, trust double"
+
+
+def survivors(rooted: DataFrame, least: int = 1) -> DataFrame:
+    """One record per thing of at least so many records: (root, entity_id, records, entity_name, type, domain_relevance, summary, chunk_ids, trust).
+
+    `entity_id` is the smallest of the thing. Dependent fields are bundles that are taken whole: the name; type with
+    domain_relevance; summary with chunk_ids, the chunks it was written from. Branch and bound chooses the bundles of most
+    trust together under the dependencies between them: the name determines the type, and the language of the summary. If
+    no choice meets both, the first gives way, then the second. Lists come as sorted sets without placeholders; a record
+    without a name is a thing of its own; fields that no record fills are null. Repeated rows count as records each.
+    """
+    things = rooted.groupBy("root").agg(F.min("entity_id").alias("entity_id"), F.count("*").alias("records")).where(F.col("records") >= least)
+    things = durable(things) if least > 1 else things
+    clean = _clean(rooted if least < 2 else rooted.join(things.select("root"), "root", "left_semi"))
+    whole = things.join(_candidates(_consistent(_votes(clean))), "root", "left")
+    return whole.select("root", "entity_id", "records", "names", "classes", "passages").mapInPandas(_choose, f"root string, entity_id long, records long, {_CHOSEN}")
+
+
+def duplicate_pairs(rooted: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(entity_id_a, entity_id_b): each surviving record's thing, by its smallest entity_id, with every other record of it."""
+    things = chosen.select("root", F.col("entity_id").alias("entity_id_a"))
+    return rooted.select("root", F.col("entity_id").alias("entity_id_b")).join(things, "root").where("entity_id_a <> entity_id_b").select("entity_id_a", "entity_id_b")
 
 
 def best_choice(names: list[dict], classes: list[dict], passages: list[dict]) -> tuple[dict, dict, dict, float]:
-    """The bundles of most trust together that meet the dependencies, by branch and bound."""
+    """The bundles of most trust together that meet the dependencies between them, by branch and bound."""
 
-    def agree(name: dict, cls: dict, passage: dict, strict: int) -> bool:
-        language = not (name.get("language") and passage.get("language")) or name["language"] == passage["language"]
-        relevance = strict < 2 or not cls.get("specific") or cls.get("typed") or bool(passage.get("cited"))
-        return (strict < 1 or language) and relevance
+    def fits(name: dict, other: dict, field: str) -> bool:
+        return not name.get(field) or not other.get(field) or _same(name[field], other[field])
 
     order = [sorted(x or [{}], key=lambda c: -_score(c)) for x in (names, passages, classes)]
     rest = [sum(_score(x[0]) for x in order[i:]) for i in range(4)]
-    for strict in (2, 1, 0):
+    for kept in (("language", "type"), ("language",), ()):
         best, most = None, -math.inf
 
         def branch(chosen: list[dict], total: float) -> None:
             nonlocal best, most
             k = len(chosen)
             if k == 3:
-                if total > most and agree(chosen[0], chosen[2], chosen[1], strict):
+                if total > most:
                     best, most = list(chosen), total
                 return
             for c in order[k]:
                 if total + _score(c) + rest[k + 1] <= most:
                     break  # the bound: candidates come by falling trust
-                if k != 1 or agree(chosen[0], {}, c, min(strict, 1)):
+                if k == 0 or (field := ("language", "type")[k - 1]) not in kept or fits(chosen[0], c, field):
                     branch([*chosen, c], total + _score(c))
 
         branch([], 0.0)
@@ -408,18 +463,20 @@ def best_choice(names: list[dict], classes: list[dict], passages: list[dict]) ->
     raise AssertionError("without dependencies any choice is allowed")
 
 
+def _same(a, b) -> bool:
+    return a == b if isinstance(a, str) else list(a) == list(b)
+
+
 def _score(candidate: dict) -> float:
-    return candidate["best"]["score"] if candidate else 0.0
+    return candidate["score"] if candidate else 0.0
 
 
 def _choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    plain = lambda x: None if x is None else [v for v in x]
+    plain = lambda x: None if x is None else list(x)
+    bundles = lambda x: [{k: (list(v) if isinstance(v, np.ndarray) else v) for k, v in c.items()} for c in x] if x is not None else []
     for batch in batches:
         rows = []
-        for entity_id, records, *bundles in batch.itertuples(index=False):
-            name, cls, passage, trust = best_choice(*[list(b) if b is not None else [] for b in bundles])
-            c = cls["best"]["class"] if cls else {}
-            p = passage["best"]["passage"] if passage else {}
-            rows.append((entity_id, name["best"]["entity_name"] if name else None, plain(c.get("type")), plain(c.get("domain_relevance")),
-                         p.get("summary"), plain(p.get("chunk_ids")), trust, records))
-        yield pd.DataFrame(rows, columns=["entity_id", "entity_name", "type", "domain_relevance", "summary", "chunk_ids", "trust", "records"])
+        for root, entity_id, records, *held in batch.itertuples(index=False):
+            name, cls, passage, trust = best_choice(*[bundles(b) for b in held])
+            rows.append((root, entity_id, records, name.get("name"), plain(cls.get("type")), plain(cls.get("relevance")), passage.get("summary"), plain(passage.get("chunks")), trust))
+        yield pd.DataFrame(rows, columns=["root", "entity_id", "records", "entity_name", "type", "domain_relevance", "summary", "chunk_ids", "trust"])

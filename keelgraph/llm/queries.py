@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelgraph.llm.abuse import THRESHOLD, score_documents, source_rates
-from keelgraph.llm.duplicates import duplicate_pairs, group_records, survivors
+from keelgraph.llm.duplicates import duplicate_pairs, rooted_records, survivors
 from keelgraph.llm.encoding import encode
 from keelgraph.llm.mixing import mix, mix_report, plan, sized
 from keelgraph.llm.pieces import split_oversized
@@ -22,16 +22,17 @@ def _names(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionAll, [entities.select(F.col("entity_name").alias("name")), triples.select("subject"), triples.select("object")])
 
 
-def _groups(spark: SparkSession, folder: str) -> DataFrame:
-    return group_records(table(spark, folder, "entities"), "entity_id", "entity_name")
+def _rooted(spark: SparkSession, folder: str) -> DataFrame:
+    return rooted_records(table(spark, folder, "entities"), "entity_id", "entity_name")
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return duplicate_pairs(_groups(spark, folder), "entity_id")
+    rooted = _rooted(spark, folder)
+    return duplicate_pairs(rooted, survivors(rooted, least=2))
 
 
 def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
-    return survivors(table(spark, folder, "entities"), _groups(spark, folder))
+    return survivors(_rooted(spark, folder)).drop("root")
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:

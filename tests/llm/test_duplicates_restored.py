@@ -1,4 +1,4 @@
-from keelgraph.llm.duplicates import _roots, group_records
+from keelgraph.llm.duplicates import _roots, rooted_records
 
 
 def test_two_slips_of_an_unstored_name(spark):
@@ -6,7 +6,9 @@ def test_two_slips_of_an_unstored_name(spark):
     known = [f"{i}号左舷舱益检验" for i in range(3)]
     names = [*things, *known, "21号上层底底板检验", "21号上上层底板检验", "22号右舷舱益检验", "22号右舷舱盖检检验", "23号上层底底板检验"]
     df = spark.createDataFrame(list(enumerate(names)), "entity_id long, entity_name string")
-    first = {names[r.entity_id]: names[r["first"]] for r in group_records(df, "entity_id", "entity_name").collect()}
+    rooted = rooted_records(df, "entity_id", "entity_name").collect()
+    smallest = {root: min(r.entity_id for r in rooted if r.root == root) for root in {r.root for r in rooted}}
+    first = {names[r.entity_id]: names[smallest[r.root]] for r in rooted}
     assert first["21号上上层底板检验"] == "21号上层底底板检验" and first["22号右舷舱盖检检验"] == "22号右舷舱益检验"
     assert first["23号上层底底板检验"] == "23号上层底底板检验" and all(first[t] == t for t in things)
 
