@@ -2,8 +2,9 @@
 
 Restoring: spans that may be disguised (figures and signs among letters, letters or ideographs parted by signs, letters
 repeated) become lattices of characters; Viterbi decoding takes the path most likely under a character trigram model counted
-over all documents. Scoring: a linear model over hashed character n-grams of each passage of the restored text, trained on a
-bounded sample of labelled documents; a document's score is that of its worst passage.
+over all documents. Scoring: a linear model over hashed character n-grams of each passage of the restored text, trained on
+passages of a bounded sample of labelled documents, which are restored and first weighed on the executors; a document's
+score is that of its worst passage.
 """
 
 from __future__ import annotations
@@ -19,12 +20,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelgraph.llm.forms import fold
-from keelgraph.session import spread
+from keelgraph.session import durable, spread
 
 #: Buckets of the n-gram weights, and of the bigram and trigram counts of the language model.
 BUCKETS, BIGRAMS, TRIGRAMS = 1 << 20, 1 << 18, 1 << 20
 #: Most labelled documents of either kind that the score is trained on.
 POSITIVES, NEGATIVES = 2_500, 8_000
+#: Most passages of those documents that reach the driver; none is longer than LONGEST, so they have 130 MB at the very most.
+PASSAGES = 80_000
+#: Of a marked document the worst passages that are trained on; of the unmarked ones' passages the share that looks best and
+#: is left out, but for this share of all.
+WORST, PLAIN, ANYWAY = 5, 0.8, 0.15
 #: Most weight of a bad passage in training, a good one having 1.
 BAD_WEIGHT = 12.0
 #: Logits, to the model of the other half, below which a marked passage and above which an unmarked document count as wrong marks.
@@ -35,11 +41,11 @@ BLOCK = 4_000
 LONGEST, SHARED = 400, 60
 
 # Letters that figures and signs stand for.
-STANDS_FOR = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
+STANDS_FOR = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
 
 #: The signs of _SIGN and the figures and signs among letters, as code points.
 _SIGNS, _FIGURES = [ord(c) for c in " \t*·.-_/~○|+^=•"], [ord(c) for c in "0123456789@$!|+"]
-_END = regex.compile(r"[\n\r。！!？?]+|(?<=[a-z\)\"])[.](?=\s|[A-Z]|$)|(?<=\D)\.\s")
+_END = regex.compile(r"(?:[\n\r。！？?]|!(?![A-Za-z]))+|(?<=[a-z\)\"])[.](?=\s|[A-Z]|$)|(?<=\D)\.\s")
 _SIGN = r"[\s*·.\-_/~○|+^=•]"
 #: Spans that may be disguised.
 _DISGUISED = regex.compile(
@@ -51,7 +57,13 @@ _DISGUISED = regex.compile(
 )
 
 
+#: Letters parted by sentence ends, and lines of one ideograph each: a disguise that runs over the ends of passages.
+_PARTED = regex.compile(r"(?<![A-Za-z])(?:[A-Za-z][.!?]\s?){2,}[A-Za-z](?![A-Za-z])|^[^\S\n]*\p{Han}[^\S\n]*(?:\r?\n[^\S\n]*\p{Han}[^\S\n]*)+$", regex.MULTILINE)
+_PARTING = regex.compile(r"[.!?\s]+")
+
+
 def passages(text: str) -> list[str]:
+    text = _PARTED.sub(lambda m: _PARTING.sub("·", m[0].strip()), text)
     out = []
     for p in _END.split(text):
         p = p and p.strip()
@@ -109,6 +121,8 @@ def _lattice(span: str) -> list[list[tuple[str, float]]]:
             j += 1
         if c.isalpha() and j - i > 2:
             out.append([(c, -1.0), (c + c, -1.5)])
+        elif c.isalpha() and j - i == 2:
+            out.append([(c + c, 0.0), (c, -2.5)])
         elif c in STANDS_FOR:
             for _ in range(i, j):
                 out.append([(c, 0.0), *((x, -1.5) for x in STANDS_FOR[c])])
@@ -235,15 +249,81 @@ def character_model(documents: DataFrame, text: str) -> CharacterModel:
     return CharacterModel(both[:BIGRAMS], both[BIGRAMS:])
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame) -> pd.DataFrame:
-    """(text, toxic) of at most POSITIVES and NEGATIVES labelled documents, by hash of the id; contested ones are left out."""
+def labelled_sample(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, text, toxic) of at most POSITIVES and NEGATIVES labelled documents, by hash of the id; contested ones are left out."""
     marks = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.avg("toxic").alias("toxic")).where("toxic IN (0, 1)")
     chosen = [
         marks.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         for kind, most in ((1, POSITIVES), (0, NEGATIVES))
     ]
-    sample = documents.select("doc_id", "text").where("text <> ''").join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id")
-    return sample.orderBy("doc_id").select("text", "toxic").toPandas()
+    # at most POSITIVES + NEGATIVES ids
+    return documents.select("doc_id", "text").where("text <> ''").join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id")
+
+
+def _restored(sample: DataFrame, model: CharacterModel) -> DataFrame:
+    """(doc_id, toxic, passages): the restored passages of every document, read on the executors."""
+    shared = sample.sparkSession.sparkContext.broadcast((model.bigrams, model.trigrams))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = CharacterModel(*shared.value)
+        for batch in batches:
+            held = [_read([t], model)[0] for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(held, pa.list_(pa.string()))], ["doc_id", "toxic", "passages"])
+
+    parts = sample.sparkSession.sparkContext.defaultParallelism
+    return sample.select("doc_id", "toxic", "text").repartition(parts).mapInArrow(run, "doc_id long, toxic double, passages array<string>")
+
+
+def _likelier(restored: DataFrame) -> np.ndarray:
+    """How much likelier each n-gram is in marked documents, from the numbers of documents with it; 0 for those of fewer than two."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column(1).to_pylist()
+            f, o = _features([p for x in held for p in x])
+            doc = np.repeat(np.arange(len(held)), [len(x) for x in held])
+            once = np.unique(doc[o].astype(np.int64) * BUCKETS + f)
+            toxic = batch.column(0).to_numpy()[once // BUCKETS] == 1
+            p, n = (np.bincount((once % BUCKETS)[which], minlength=BUCKETS) for which in (toxic, ~toxic))
+            at = np.flatnonzero(p + n)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(p[at], pa.int64()), pa.array(n[at], pa.int64())], ["bucket", "p", "n"])
+
+    counted = restored.select("toxic", "passages").mapInArrow(count, "bucket int, p long, n long").groupBy("bucket").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+    of = counted.where("p >= 2").toPandas()  # at most BUCKETS rows
+    bad, good = restored.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
+    weights = np.zeros(BUCKETS, np.float32)
+    weights[of["bucket"].to_numpy(np.int64)] = np.clip(np.log((of["p"] + 0.5) / (bad + 1)) - np.log((of["n"] + 0.5) / (good + 1)), 0, 4)
+    return weights
+
+
+def training_passages(documents: DataFrame, labels: DataFrame, model: CharacterModel) -> pd.DataFrame:
+    """(doc_id, toxic, passage, score) of at most PASSAGES passages of the labelled sample: of every marked document the WORST,
+    of the unmarked ones those that look worse than the share PLAIN of theirs, and the share ANYWAY of all.
+
+    How bad a passage looks is how much likelier its n-grams are in marked documents. Restoring, counting and weighing run on
+    the executors, a document in one row.
+    """
+    restored = durable(_restored(labelled_sample(documents, labels), model))
+    shared = documents.sparkSession.sparkContext.broadcast(_likelier(restored))
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column(2).to_pylist()
+            flat, sizes = [p for x in held for p in x], np.array([len(x) for x in held], np.int64)
+            f, o = _features(flat)
+            size = np.maximum(np.bincount(o, minlength=len(flat)), 8)
+            score = np.bincount(o, weights=shared.value[f], minlength=len(flat)) / np.sqrt(size)
+            doc = np.repeat(np.arange(len(held)), sizes)
+            place = np.empty(len(flat), np.int32)
+            place[np.lexsort((-score, doc))] = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), batch.column(1).take(pa.array(doc)), pa.array(flat, pa.string()), pa.array(score, pa.float64()), pa.array(place, pa.int32())],
+                                             ["doc_id", "toxic", "passage", "score", "place"])
+
+    weighed = durable(restored.mapInArrow(weigh, "doc_id long, toxic double, passage string, score double, place int"))
+    floor = weighed.where("toxic = 0").agg(F.percentile_approx("score", PLAIN)).first()[0] or 0.0
+    drawn = F.pmod(F.xxhash64("doc_id", "place"), F.lit(1000)) < ANYWAY * 1000
+    kept = weighed.where(F.when(F.col("toxic") == 1, F.col("place") < WORST).otherwise((F.col("score") > floor) | drawn))
+    return kept.orderBy(F.xxhash64("doc_id"), "doc_id", "place").limit(PASSAGES).select("doc_id", "toxic", "passage", "score").toPandas()
 
 
 def _fit(found: np.ndarray, start: np.ndarray, rows: np.ndarray, y: np.ndarray, epochs: int = 5, seed: int = 7) -> tuple[np.ndarray, float]:
@@ -271,46 +351,21 @@ def _fit(found: np.ndarray, start: np.ndarray, rows: np.ndarray, y: np.ndarray,
     return weights, float(bias)
 
 
-def _first_view(texts: list[str], doc: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """How much likelier the n-grams of each passage are in marked documents."""
-    p, n = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for i in range(0, len(texts), BLOCK):
-        f, o = _features(texts[i : i + BLOCK])
-        once = np.unique(doc[o + i].astype(np.int64) * BUCKETS + f)
-        in_bad = toxic[once // BUCKETS]
-        p += np.bincount((once % BUCKETS)[in_bad], minlength=BUCKETS)
-        n += np.bincount((once % BUCKETS)[~in_bad], minlength=BUCKETS)
-    likelier = np.log((p + 0.5) / (toxic.sum() + 1)) - np.log((n + 0.5) / ((~toxic).sum() + 1))
-    likelier = np.where(p >= 2, np.clip(likelier, 0, 4), 0).astype(np.float32)
-    out = []
-    for i in range(0, len(texts), BLOCK):
-        f, o = _features(texts[i : i + BLOCK])
-        size = np.maximum(np.bincount(o, minlength=len(texts[i : i + BLOCK])), 8)
-        out.append(np.bincount(o, weights=likelier[f], minlength=len(size)) / np.sqrt(size))
-    return np.concatenate(out or [np.zeros(0)])
-
-
-def train(sample: pd.DataFrame, model: CharacterModel) -> tuple[np.ndarray, float]:
-    """Weights and bias of the passage score.
+def train(sample: pd.DataFrame) -> tuple[np.ndarray, float]:
+    """Weights and bias of the passage score, from `training_passages`.
 
     A marked document has at least one bad passage, an unmarked one none. Of every marked document the passage is taken that
-    looks worst, first by how much likelier its n-grams are in marked documents, then to a model fitted on the other half of
-    the sample; marked documents of which that model suspects nothing, and unmarked ones it is sure of, are taken for wrong
-    marks and left out of the final fit. Without marks of both kinds all weights are 0.
+    looks worst, first by the score it comes with, then to a model fitted on the other half of the sample; marked documents
+    of which that model suspects nothing, and unmarked ones it is sure of, are taken for wrong marks and left out of the
+    final fit. Without marks of both kinds all weights are 0.
     """
-    toxic = sample["toxic"].to_numpy() == 1
-    if not 0 < toxic.sum() < len(toxic):
+    doc = pd.factorize(sample["doc_id"])[0]
+    bad = sample["toxic"].to_numpy() == 1
+    if not 0 < bad.sum() < len(bad):
         return np.zeros(BUCKETS, np.float32), -5.0
-    texts, counts = _read(list(sample["text"]), model)
-    doc = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
-    score = _first_view(texts, doc, toxic)
-    # Of the marked documents the few worst passages go on, of the others all that look bad and a part of the rest.
-    bad = toxic[doc]
-    place = np.empty(len(doc), np.int64)
-    place[np.lexsort((-score, doc))] = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
-    floor = np.quantile(score[~bad], 0.8) if (~bad).any() else 0.0
-    kept = np.flatnonzero(np.where(bad, place < 5, (score > floor) | (np.random.default_rng(7).random(len(doc)) < 0.15)))
-    texts, doc, bad, score = [texts[i] for i in kept], doc[kept], bad[kept], score[kept]
+    texts, score = list(sample["passage"]), sample["score"].to_numpy(float).copy()
+    toxic = np.zeros(doc.max() + 1, bool)
+    toxic[doc[bad]] = True
     parts = []
     for i in range(0, len(texts), BLOCK):
         f, o = _features(texts[i : i + BLOCK])
@@ -354,7 +409,7 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     may be null, wrong, repeated or contested; without any, all scores are the same.
     """
     model = character_model(documents, "text")
-    weights, bias = train(labelled_sample(documents, labels), model)
+    weights, bias = train(training_passages(documents, labels, model))
     shared = documents.sparkSession.sparkContext.broadcast((model.bigrams, model.trigrams, weights, bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

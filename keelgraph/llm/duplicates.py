@@ -422,7 +422,7 @@ def survivors(rooted: DataFrame, least: int = 1) -> DataFrame:
     """
     things = rooted.groupBy("root").agg(F.min("entity_id").alias("entity_id"), F.count("*").alias("records")).where(F.col("records") >= least)
     things = durable(things) if least > 1 else things
-    clean = _clean(rooted if least < 2 else rooted.join(things.select("root"), "root", "left_semi"))
+    clean = durable(_clean(rooted if least < 2 else rooted.join(things.select("root"), "root", "left_semi")))
     whole = things.join(_candidates(_consistent(_votes(clean))), "root", "left")
     return whole.select("root", "entity_id", "records", "names", "classes", "passages").mapInPandas(_choose, f"root string, entity_id long, records long, {_CHOSEN}")
 

@@ -1,8 +1,7 @@
 import numpy as np
-import pandas as pd
 
 from keelgraph.llm import abuse
-from keelgraph.llm.abuse import BIGRAMS, TRIGRAMS, CharacterModel, passages, restore, score_documents, source_rates, train
+from keelgraph.llm.abuse import BIGRAMS, TRIGRAMS, CharacterModel, passages, restore, score_documents, source_rates
 
 TEXTS = ["what a moron and scumbag he is, retard", "你真是个傻逼蠢货王八蛋", "the hull plate is 12 mm thick and welded", "外板厚度为十二毫米，焊缝合格。"] * 50
 
@@ -19,6 +18,8 @@ def test_restore():
     m = model()
     for disguised, plain in (("m0r0n", "moron"), ("moooron", "moron"), ("s-c-u-m-b-a-g", "scumbag"), ("r e t a r d", "retard"), ("傻*逼", "傻逼"), ("王·八·蛋", "王八蛋")):
         assert restore(disguised, m) == plain
+    for parted, plain in (("他是\n傻\n逼\n吧", "傻逼"), ("so s. c. u. m. b. a. g here", "scumbag"), ("m!o!r!o!n", "moron"), ("m0roon", "moron")):
+        assert any(plain in restore(p, m) for p in passages(parted)), parted
     assert restore("12 mm thick", m) == "12 mm thick" and restore("", m) == ""
 
 
@@ -49,15 +50,22 @@ def documents(n):
     return rows
 
 
-def test_held_out_accuracy():
+def test_held_out_accuracy(spark):
     rows = documents(600)
-    m = model()
-    sample = pd.DataFrame({"text": [r[1] for r in rows[:400]], "toxic": [float(r[3] if i % 40 else 1 - r[3]) for i, r in enumerate(rows[:400])]})
-    weights, bias = train(sample, m)
-    flat, counts = abuse._read([r[1] for r in rows[400:]], m)
-    scores = np.maximum.reduceat(abuse._scores(flat, weights, bias), np.cumsum(counts) - counts)
-    truth = np.array([r[3] for r in rows[400:]]) == 1
-    assert ((scores > 0) == truth).mean() > 0.95
+    docs = spark.createDataFrame([(i, t, s) for i, t, s, _ in rows], "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(r[0], r[3] if i % 40 else 1 - r[3]) for i, r in enumerate(rows[:400])], "doc_id long, toxic int")
+    got = {r.doc_id: r.score >= 0.5 for r in score_documents(docs, labels).collect()}
+    assert sum(got[r[0]] == (r[3] == 1) for r in rows[400:]) > 190
+
+
+def test_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(abuse, "PASSAGES", 50)
+    rows = documents(120)
+    docs = spark.createDataFrame([(i, t, s) for i, t, s, _ in rows], "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    got = abuse.training_passages(docs, labels, model())
+    assert len(got) == 50 and set(got["toxic"]) == {0.0, 1.0} and got["passage"].str.len().max() <= abuse.LONGEST
+    assert len(abuse.training_passages(docs, labels.limit(0), model())) == 0
 
 
 def test_tables(spark):
