@@ -87,7 +87,8 @@ class Rule(Extractor):
 
     def extract(self, prompts: DataFrame) -> DataFrame:
         listed = F.from_json(F.regexp_extract("prompt", r"(?s)\nKnown entities:\n(\[.*?\])\nChunk: ", 1), "array<struct<entity_name:string>>")
-        asked = prompts.select("chunk_id", "prompt", listed.alias("known"))
+        # generated, so that the list isn't read out of the prompt again for each of its names
+        asked = prompts.select("chunk_id", "prompt", F.explode(F.array(listed)).alias("known"))
         pair = lambda x, i: F.struct(x["entity_name"].alias("subject"), F.lit(self.RELATION).alias("relation"), F.get("known", i + 1)["entity_name"].alias("object"))
         said = F.to_json(F.struct(F.filter(F.transform("known", pair), lambda t: t["object"].isNotNull()).alias("triples")))
         return asked.select("chunk_id", "prompt", F.when(F.col("known").isNotNull(), said).alias("raw"), F.when(F.col("known").isNull(), "no known entities").alias("error"))
