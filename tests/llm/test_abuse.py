@@ -30,6 +30,9 @@ def test_gate_denies_nothing():
     texts = ["".join(random.choice("abc01@$ .-*·船体") for _ in range(random.randint(0, 30))) for _ in range(3000)]
     told = abuse._suspicious(texts)
     assert all(t for t, text in zip(told, texts) if abuse._DISGUISED.search(text))
+    texts = ["".join(random.choice("abC.!? \n\t船体\u3000\r。") for _ in range(random.randint(0, 30))) for _ in range(5000)]
+    told = abuse._may_be_parted(texts)
+    assert all(t for t, text in zip(told, texts) if abuse._PARTED.search(text)) and not told.all()
 
 
 def test_passages():
