@@ -423,8 +423,15 @@ def survivors(rooted: DataFrame, least: int = 1) -> DataFrame:
     things = rooted.groupBy("root").agg(F.min("entity_id").alias("entity_id"), F.count("*").alias("records")).where(F.col("records") >= least)
     things = durable(things) if least > 1 else things
     clean = durable(_clean(rooted if least < 2 else rooted.join(things.select("root"), "root", "left_semi")))
-    whole = things.join(_candidates(_consistent(_votes(clean))), "root", "left")
-    return whole.select("root", "entity_id", "records", "names", "classes", "passages").mapInPandas(_choose, f"root string, entity_id long, records long, {_CHOSEN}")
+    whole = durable(things.join(_candidates(_consistent(_votes(clean))), "root", "left").select("root", "entity_id", "records", "names", "classes", "passages"))
+    # where each bundle has one candidate, as with most single records, there is nothing to choose
+    plain = F.greatest(*[F.coalesce(F.size(c), F.lit(0)) for c in ("names", "classes", "passages")]) <= 1
+    name, cls, passage = F.get("names", F.lit(0)), F.get("classes", F.lit(0)), F.get("passages", F.lit(0))
+    trust = sum((F.coalesce(x["score"], F.lit(0.0)) for x in (name, cls, passage)), F.lit(0.0))
+    alone = whole.where(plain).select("root", "entity_id", "records", name["name"].alias("entity_name"), cls["type"].alias("type"), cls["relevance"].alias("domain_relevance"),
+                                      passage["summary"].alias("summary"), passage["chunks"].alias("chunk_ids"), trust.alias("trust"))
+    chosen = whole.where(~plain).mapInPandas(_choose, f"root string, entity_id long, records long, {_CHOSEN}")
+    return alone.unionAll(chosen)
 
 
 def duplicate_pairs(rooted: DataFrame, chosen: DataFrame) -> DataFrame:
