@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -207,9 +207,9 @@ def _pairs(keys: DataFrame) -> DataFrame:
     every place; a rest of many keys is cut into parts, each of which meets all of them.
     """
     hashed = keys.select(F.xxhash64("key").alias("id"), "key")
-    near = hashed.mapInArrow(_rests, "id long, rest long")
-    shared = near.groupBy("rest").agg(F.count("*").alias("n")).where("n > 1").select("rest", F.ceil(F.col("n") / REST_PART).cast("int").alias("parts"))
-    near = near.join(shared, "rest")
+    n = F.count("*").over(Window.partitionBy("rest"))
+    near = hashed.mapInArrow(_rests, "id long, rest long").withColumn("n", n).where("n > 1")
+    near = durable(near.select("id", "rest", F.ceil(F.col("n") / REST_PART).cast("int").alias("parts")))
     one = near.select("rest", F.col("id").alias("a"), F.pmod(F.hash("id"), "parts").alias("part"))
     other = near.select("rest", F.col("id").alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     pairs = one.join(other, ["rest", "part"]).where("a < b").select("a", "b").distinct()
@@ -237,16 +237,17 @@ def _units(keys: pd.Series) -> pd.Series:
 
 def _leading(keys: DataFrame) -> DataFrame:
     """(key, root): every key that is a slip of another, with the key meant."""
-    counts = keys.select(F.explode(_units("key")).alias("unit")).groupBy("unit").agg(F.count("*").alias("n"))
-    of = lambda column, n: counts.select(F.col("unit").alias(column), F.col("n").alias(n))
     # By number, so that Python's share isn't merged into a few tasks for its few bytes.
     parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = durable(keys.repartition(parts, "key"))
+    counts = durable(keys.select(F.explode(_units("key")).alias("unit")).groupBy("unit").agg(F.count("*").alias("n")))
+    of = lambda column, n: counts.select(F.col("unit").alias(column), F.col("n").alias(n))
     told = _pairs(keys).repartition(parts).mapInPandas(_told, _TOLD).join(of("made", "n_made"), "made", "left").join(of("spoilt", "n_spoilt"), "spoilt", "left")
     odds = F.when(F.col("kind") == "space", F.lit(1e9)).otherwise(F.coalesce("n_spoilt", F.lit(0)) / F.greatest(F.coalesce("n_made", F.lit(0)), F.lit(1)))
     judged = durable(told.groupBy("key", "parent", "kind", "short", "way").agg(F.min(odds).alias("odds")))
     # A character mistaken for another in several names is believed in any other name, too.
-    mistaken = judged.where((F.col("odds") >= RARER) & ~F.col("short") & (F.length("kind") == 2)).groupBy("kind").agg(
-        F.countDistinct("key").alias("seen")).where(F.col("seen") >= SEEN)
+    mistaken = durable(judged.where((F.col("odds") >= RARER) & ~F.col("short") & (F.length("kind") == 2)).groupBy("kind").agg(
+        F.countDistinct("key").alias("seen")).where(F.col("seen") >= SEEN))
     known = judged.join(mistaken, "kind", "left").withColumn("known", F.col("seen").isNotNull())
     # Nobody means a character twice where another name has it once, however common the pair is.
     known = known.withColumn("odds", F.when(F.col("kind") == "double", F.greatest("odds", F.lit(float(RARER)))).otherwise(F.col("odds")))
@@ -255,8 +256,8 @@ def _leading(keys: DataFrame) -> DataFrame:
     best = durable(slips.groupBy("key").agg(F.max_by("parent", F.struct("odds", "parent")).alias("root")))
     kinds = [r.kind for r in mistaken.select("kind").collect()]  # bounded by the characters mistaken for each other
     restored = keys.join(best, "key", "left_anti").repartition(parts).mapInPandas(lambda batches: _restored(batches, kinds), "key string, parent string")
-    shared = restored.groupBy("parent").agg(F.count("*").alias("n")).where("n > 1").join(keys.withColumnRenamed("key", "parent"), "parent", "left_anti")
-    pairs = restored.join(shared.select("parent"), "parent", "left_semi").select(F.col("key").alias("a"), F.col("parent").alias("b"))
+    together = restored.withColumn("n", F.count("*").over(Window.partitionBy("parent"))).where("n > 1").drop("n")
+    pairs = durable(together.join(keys.withColumnRenamed("key", "parent"), "parent", "left_anti").select(F.col("key").alias("a"), F.col("parent").alias("b")))
     told = pairs.mapInPandas(_told, _TOLD).join(pairs.select(F.col("a").alias("key"), F.col("b").alias("parent")), ["key", "parent"], "left_semi")
     told = told.join(of("made", "n_made"), "made", "left").join(of("spoilt", "n_spoilt"), "spoilt", "left")
     judged = told.groupBy("key", "parent", "kind", "way").agg(F.min(odds).alias("odds"))
